@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editlume.llm.leakage import find_leaks
 from editlume.llm.near_dups import expand_pairs, groups, near_duplicate_classes
 from editlume.session import table
 
@@ -30,5 +31,17 @@ def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups)}
+def _leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "heldout_item"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _leaks(spark, sf).select("doc_id", "item_id")
+
+
+def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return _leaks(spark, sf)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_leaks)}
 SQL: dict[str, str] = {}

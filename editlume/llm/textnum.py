@@ -6,14 +6,15 @@ per character does not depend on how the texts are cut into rows.
 
 from __future__ import annotations
 
-import re
 import sys
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
@@ -65,9 +66,6 @@ class Batch:
     start: np.ndarray
 
 
-_ODD = re.compile(r"[^\x00-\x7f]")
-
-
 def normalize_nfkc(text: str) -> str:
     if text.isascii() or unicodedata.is_normalized("NFKC", text):
         return text
@@ -137,9 +135,8 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h, w.doc[pos], pos
 
 
-def word_text(b: Batch) -> Batch:
+def word_text(b: Batch, w: Words) -> Batch:
     """The words of each text joined by single blanks, with one blank before and after."""
-    w = words(b)
     k = len(w.begin)
     size = w.end - w.begin
     n_texts = len(b.start) - 1
@@ -172,3 +169,15 @@ def qgrams(b: Batch, q: int) -> tuple[np.ndarray, np.ndarray]:
         ok[at[(at >= 0) & (at <= n - q)]] = False
     off = np.flatnonzero(ok)
     return h[off], off
+
+
+def pieces(batch: pa.RecordBatch, column: int = 0, max_rows: int = 1000, max_chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of at most `max_rows` rows and about `max_chars` characters of text: bounds the arrays made from one slice."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total = np.concatenate(([0], np.cumsum(sizes)))
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(total, total[at] + max_chars, side="right")) - 1
+        upto = min(max(upto, at + 1), at + max_rows, batch.num_rows)
+        yield batch.slice(at, upto - at)
+        at = upto
