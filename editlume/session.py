@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -45,9 +46,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._editlume_path = path  # type: ignore[attr-defined]
+    release_shuffles(spark)
     return out
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed now: Spark does so only when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_materialized(df: DataFrame | None) -> None:
     """Delete the table behind a frame returned by `materialize`; other frames are left alone."""
     path = getattr(df, "_editlume_path", None)
