@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editlume.llm.leakage import find_leaks
+from editlume.llm.mixing import count_tokens, mix_sources
 from editlume.llm.near_dups import expand_pairs, groups, near_duplicate_classes
-from editlume.session import table
+from editlume.operators.skew import heavy_join
+from editlume.session import materialize, table
 
+TOKENIZERS = os.environ.get("EDITLUME_TOKENIZERS", "/opt/tokenizers")
+RANKS = "byte_bpe_multi_50k.tiktoken"
+# the pre-tokenizer of the public byte-level BPE vocabularies (fixed value)
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 P3 = {"shingle": 3, "threshold": 0.6, "min_words": 20}
 
 
@@ -43,5 +50,22 @@ def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return _leaks(spark, sf)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_leaks)}
+def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Topic: the namespace of the document's page, as far as it has one."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source", "lang", "page_id")
+    page = table(spark, sf, "page").where("page_id is not null").groupBy(F.col("page_id").alias("pid")).agg(F.max("page_namespace").alias("topic"))
+    sized = materialize(count_tokens(docs, "text", f"{TOKENIZERS}/{RANKS}", PATTERN), "token-counts")
+    topical = heavy_join(sized, page, "page_id", "pid", ["topic"])
+    return mix_sources(topical, table(spark, sf, "mix_target"), "doc_id")
+
+
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return _mix(spark, sf)[0]
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return _mix(spark, sf)[1]
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_leaks, p8_mix, p8_shares)}
 SQL: dict[str, str] = {}
