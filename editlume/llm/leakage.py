@@ -31,9 +31,13 @@ from editlume.llm.textnum import Batch, U, Words, pieces, qgrams, shingles, to_b
 
 Q = 10
 BAND = 32
-SHARED_BY = 2
+#: Which q-grams of an item are indexed: those in at most so many items, if the item's bounds are then
+#: at least so high; else the next line. Any line gives the same results.
+ATTEMPTS = ((2, 12), (4, 12), (8, 12), (16, 12), (1 << 40, 1))
 _FILTER_BITS = 22
 _NEVER = np.int64(1) << 40
+_ITEM = (1 << 20) - 1
+_SHIFT = 1 << 26
 
 
 def _reduce(texts: list[str]) -> tuple[Batch, Words]:
@@ -75,9 +79,8 @@ def build_index(ids: list[int], texts: list[str], run: int, shingle: int, share:
     new_owner = new.copy()
     new_owner[1:] |= os_[1:] != os_[:-1]
     spread = np.bincount(group, weights=new_owner, minlength=0)
-    rare_sorted = spread[group] <= SHARED_BY if len(hs) else np.zeros(0, bool)
-    rare = np.zeros(len(h), dtype=bool)
-    rare[order] = rare_sorted
+    in_items = np.zeros(len(h), dtype=np.int64)
+    in_items[order] = spread[group] if len(hs) else 0
     out = ItemIndex(np.asarray(ids, dtype=np.int64), text)
     run_hits, run_chars, half_hits = (np.full(n, _NEVER) for _ in range(3))
     use = np.zeros(len(h), dtype=bool)
@@ -97,7 +100,8 @@ def build_index(ids: list[int], texts: list[str], run: int, shingle: int, share:
             continue
         starts = s_pos[which][first] - a
         need = int(np.ceil(share * len(seq) - 1e-9))
-        for attempt in (rare, np.ones(len(h), dtype=bool)):
+        for most, least in ATTEMPTS:
+            attempt = in_items <= most
             held = np.zeros(text.start[i + 1] - text.start[i] + 1, dtype=np.int64)
             held[pos[mine][attempt[mine]] + 1] = 1
             held = np.cumsum(held)  # held[p]: indexed q-grams that begin before p
@@ -108,7 +112,7 @@ def build_index(ids: list[int], texts: list[str], run: int, shingle: int, share:
             per_seq = np.sort(inside(begin[starts], end[starts + shingle - 1]))
             # a position lies in at most `shingle` consecutive sequences
             half_hits[i] = -(-per_seq[:need].sum() // shingle)
-            if run_hits[i] >= 1 and half_hits[i] >= 1:
+            if run_hits[i] >= least and half_hits[i] >= min(least, 4):
                 use[mine] |= attempt[mine]
                 break
         else:
@@ -139,15 +143,12 @@ def hits(index: ItemIndex, text: Batch, q: int = Q) -> tuple[np.ndarray, np.ndar
     return doc, off - text.start[doc], index.item[at], index.pos[at]
 
 
-def _counted(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct combinations of the keys and how often each occurs."""
-    order = np.lexsort(keys[::-1])
-    keys = tuple(k[order] for k in keys)
-    new = np.ones(len(order), dtype=bool)
-    if len(order):
-        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key begins, and how often it occurs."""
+    new = np.ones(len(sorted_keys), dtype=bool)
+    new[1:] = sorted_keys[1:] != sorted_keys[:-1]
     at = np.flatnonzero(new)
-    return [k[at] for k in keys], np.diff(np.append(at, len(order)))
+    return at, np.diff(np.append(at, len(sorted_keys)))
 
 
 def banded_distance(item: Batch, i: np.ndarray, text: Batch, d: np.ndarray, low: np.ndarray, width: int) -> np.ndarray:
@@ -184,25 +185,34 @@ def banded_distance(item: Batch, i: np.ndarray, text: Batch, d: np.ndarray, low:
 def _candidates(index: ItemIndex, text: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, item, edit distance or -1) of the pairs that pass the bounds."""
     doc, at, item, pos = hits(index, text)
-    diag = at - pos
-    d2, i2 = np.concatenate((doc, doc)), np.concatenate((item, item))
+    # half a band per key: text (10 bits), item (20 bits), half band (24 bits)
     half = BAND // 2
-    band = np.concatenate((diag // BAND * 2, (diag + half) // BAND * 2 + 1))
-    (bd, bi, bb), n = _counted(d2, i2, band)
-    keep = n >= index.run_hits[bi]
-    bd, bi, bb = bd[keep], bi[keep], bb[keep]
-    low = np.where(bb % 2 == 0, bb // 2 * BAND, (bb // 2) * BAND - half)
+    pair = (doc << 20) | item
+    keys = np.sort((pair << 24) | ((at - pos + _SHIFT) // half))
+    first, n = _runs(keys)
+    keys = keys[first]
+    follows = np.zeros(len(keys), dtype=np.int64)
+    follows[:-1] = np.where(keys[1:] == keys[:-1] + 1, n[1:], 0)
+    kept = keys[n + follows >= index.run_hits[(keys >> 24) & _ITEM]]
+    bd, bi, low = kept >> 44, (kept >> 24) & _ITEM, (kept & 0xFFFFFF) * half - _SHIFT
     dist = banded_distance(index.text, bi, text, bd, low, BAND)
     chars = index.text.start[bi + 1] - index.text.start[bi]
     ok = dist <= chars - index.run_chars[bi]
-    (pd_, pi, _), _ = _counted(doc, item, pos)
-    (hd, hi), m = _counted(pd_, pi)
-    half_ok = m >= index.half_hits[hi]
+    # whole-text hits by item position, first with repetitions, then without
+    pk, start = np.unique(keys >> 24, return_index=True)
+    total = np.add.reduceat(n, start) if len(pk) else np.zeros(0, np.int64)
+    pk = pk[total >= index.half_hits[pk & _ITEM]]
+    some = np.isin(pair, pk)
+    distinct = np.unique((pair[some] << 24) | pos[some]) >> 24
+    first, m = _runs(distinct)
+    pk = distinct[first]
+    pk = pk[m >= index.half_hits[pk & _ITEM]]
+    hd, hi = pk >> 20, pk & _ITEM
     texts = len(text.start) - 1
     every = index.unfiltered
-    all_d = np.concatenate((bd[ok], hd[half_ok], np.tile(np.arange(texts), len(every))))
-    all_i = np.concatenate((bi[ok], hi[half_ok], np.repeat(every, texts)))
-    all_e = np.concatenate((dist[ok], np.full(half_ok.sum() + texts * len(every), -1)))
+    all_d = np.concatenate((bd[ok], hd, np.tile(np.arange(texts), len(every))))
+    all_i = np.concatenate((bi[ok], hi, np.repeat(every, texts)))
+    all_e = np.concatenate((dist[ok], np.full(len(hd) + texts * len(every), -1)))
     order = np.lexsort((np.where(all_e < 0, 1 << 30, all_e), all_i, all_d))
     all_d, all_i, all_e = all_d[order], all_i[order], all_e[order]
     first = np.ones(len(all_d), dtype=bool)
