@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from editlume.llm.leakage import find_leaks
 from editlume.llm.mixing import count_tokens, mix_sources
 from editlume.llm.near_dups import expand_pairs, groups, near_duplicate_classes
+from editlume.llm.prose import flag_pages
 from editlume.operators.skew import heavy_join
 from editlume.session import materialize, table
 
@@ -67,5 +68,13 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _mix(spark, sf)[1]
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_leaks, p8_mix, p8_shares)}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_scores(spark, sf).where("flagged").select("doc_id")
+
+
+def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return flag_pages(table(spark, sf, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_scores)}
 SQL: dict[str, str] = {}
