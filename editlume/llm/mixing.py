@@ -122,8 +122,8 @@ def mix_sources(docs: DataFrame, targets: DataFrame, doc_id: str, buckets: int =
 
     The extra copy of a document is drawn by systematic sampling with probability w - floor(w), along
     the order of size within its cell, so that each stretch of sizes is represented and shares come
-    out nearly exact. Ranks along that order are made of counts per (cell, size, bucket of the id's
-    hash), so no cell is ordered in one task. Documents with NULL id, no source in the
+    out nearly exact. Ranks along that order are made of counts per (cell, size) and per bucket of the
+    id's hash within these, so no cell's documents are ordered in one task. Documents with NULL id, no source in the
     targets, or no tokens are not mixed; NULL language and topic are classes of their own. Rows
     repeated under one id count once (the largest sizes and names hold).
     """
@@ -135,25 +135,35 @@ def mix_sources(docs: DataFrame, targets: DataFrame, doc_id: str, buckets: int =
     ).where(F.col("id").isNotNull() & F.col("source").isin(list(goal)))
     once = base.groupBy("id").agg(*[F.max(c).alias(c) for c in ("source", "lang", "topic", "n_tokens")])
     sized = materialize(once.where("n_tokens > 0"), "sized")
-    cells = sized.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens"))
+    cells = sized.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     rows = cells.limit(MAX_CELLS + 1).collect()
     if len(rows) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} cells of source, language and topic: use coarser topics")
     plan = rake([(r["source"], r["lang"], r["topic"], r["tokens"]) for r in rows], goal)
-    weights = spark.createDataFrame(plan.cells, "source string, lang string, topic string, w double")
+    size_of = {(r["source"], r["lang"], r["topic"]): r["docs"] for r in rows}
+    drawn: dict[str, float] = {}
+    placed = []
+    for s, lang, topic, w in sorted(plan.cells):  # the draw runs on from cell to cell, so a source is off by one document at most
+        placed.append((s, lang, topic, w, drawn.setdefault(s, 0.5)))
+        drawn[s] = (drawn[s] + (w - float(np.floor(w))) * size_of[s, lang, topic]) % 1.0
+    weights = spark.createDataFrame(placed, "source string, lang string, topic string, w double, _start double")
     weighted = sized.join(F.broadcast(weights), ["source", "lang", "topic"])
     bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("_b")
     keyed = weighted.withColumn("_b", bucket)
     key = ["source", "lang", "topic"]
     counts = keyed.groupBy(*key, "n_tokens", "_b").agg(F.count("*").alias("_n"))
-    before = counts.withColumn(
-        "_before", F.sum("_n").over(Window.partitionBy(*key).orderBy("n_tokens", "_b").rowsBetween(Window.unboundedPreceding, -1))
-    ).drop("_n")
+    per_size = counts.groupBy(*key, "n_tokens").agg(F.sum("_n").alias("_m"))
+    smaller = F.sum("_m").over(Window.partitionBy(*key).orderBy("n_tokens").rowsBetween(Window.unboundedPreceding, -1))
+    earlier = F.sum("_n").over(Window.partitionBy(*key, "n_tokens").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    before = (
+        counts.withColumn("_earlier", F.coalesce(earlier, F.lit(0)))
+        .join(per_size.withColumn("_smaller", F.coalesce(smaller, F.lit(0))), [*key, "n_tokens"])
+        .select(*key, "n_tokens", "_b", (F.col("_earlier") + F.col("_smaller")).alias("_before"))
+    )
     inner = Window.partitionBy(*key, "n_tokens", "_b").orderBy(F.xxhash64("id", F.lit(1)), "id")
-    ranked = keyed.join(before, [*key, "n_tokens", "_b"]).withColumn("_rank", F.coalesce("_before", F.lit(0)) + F.row_number().over(inner))
-    start = F.pmod(F.xxhash64(*key), F.lit(1_000_000)) / 1e6
+    ranked = keyed.join(before, [*key, "n_tokens", "_b"]).withColumn("_rank", F.col("_before") + F.row_number().over(inner))
     frac = F.col("w") - F.floor("w")
-    extra = F.floor(F.col("_rank") * frac + start) - F.floor((F.col("_rank") - 1) * frac + start)
+    extra = F.floor(F.col("_rank") * frac + F.col("_start")) - F.floor((F.col("_rank") - 1) * frac + F.col("_start"))
     chosen = ranked.select(
         F.col("id").alias(doc_id), *key, "n_tokens", (F.floor("w") + extra).cast("int").alias("copies")
     ).where("copies > 0")
