@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,17 +44,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/editlume/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with transient_shuffles(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._editlume_path = path  # type: ignore[attr-defined]
-    release_shuffles(spark)
     return out
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Have the shuffle files of finished jobs removed now: Spark does so only when the driver collects its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+@contextmanager
+def transient_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside leave no shuffle files: else these stay until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def drop_materialized(df: DataFrame | None) -> None:
