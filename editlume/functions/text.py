@@ -15,7 +15,7 @@ def human_size(size: Column, base: int = 1024) -> Column:
     out = F.lit(None).cast("string")
     for k in range(len(UNITS[base]), 0, -1):
         scaled = value / float(base) ** k
-        out = F.when(scaled < base, F.format_string(f"%.1f {UNITS[base][k - 1]}", scaled)).otherwise(out)
+        out = F.when(scaled < base, F.concat(F.call_function("format_number", scaled, F.lit("0.0")), F.lit(" " + UNITS[base][k - 1]))).otherwise(out)
     return F.when(value >= 0, out)
 
 

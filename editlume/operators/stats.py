@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _value_table(df: DataFrame, value: str) -> DataFrame:
@@ -148,7 +149,7 @@ def lowess(df: DataFrame, by: Sequence[str], x: str, y: str, span: float = 2 / 3
         return pdf
 
     d = df.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    schema = d.schema.add("fitted", "double")
+    schema = T.StructType([*d.schema.fields, T.StructField("fitted", T.DoubleType())])
     return d.groupBy(*by).applyInPandas(fit, schema).select(*by, F.col("_x").alias("x"), F.col("_y").alias("y"), "fitted")
 
 
@@ -211,7 +212,7 @@ def stl(df: DataFrame, by: Sequence[str], time: str, value: str, period: int = 1
         return pdf.assign(seasonal=s, trend=t, remainder=r)
 
     d = df.select(*by, F.col(time).alias("_t"), F.col(value).cast("double").alias("_v"))
-    schema = d.schema.add("seasonal", "double").add("trend", "double").add("remainder", "double")
+    schema = T.StructType([*d.schema.fields, *[T.StructField(c, T.DoubleType()) for c in ("seasonal", "trend", "remainder")]])
     out = d.groupBy(*by).applyInPandas(run, schema)
     return out.select(*by, F.col("_t").alias(time), F.col("_v").alias(value), "seasonal", "trend", "remainder")
 
