@@ -10,31 +10,31 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def revision_stream(spark: SparkSession, folder: str, schema: StructType, files_per_trigger: int = 100) -> DataFrame:
-    """Revisions of parquet files as they arrive; zone-less times are taken as UTC for the watermark."""
+def revision_stream(spark: SparkSession, folder: str, schema: StructType, files_per_trigger: int = 100, delay: str = "7 days") -> DataFrame:
+    """Revisions of parquet files as they arrive, with event_time (zone-less times taken as UTC) and its watermark."""
     raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
-    return raw.withColumn("event_time", F.col("rev_timestamp").cast("timestamp"))
+    return raw.withColumn("event_time", F.col("rev_timestamp").cast("timestamp")).withWatermark("event_time", delay)
 
 
-def once_per_id(stream: DataFrame, delay: str = "7 days") -> DataFrame:
+def once_per_id(stream: DataFrame) -> DataFrame:
     """Rows repeated under one rev_id within the watermark count once."""
-    return stream.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["rev_id"])
+    return stream.dropDuplicatesWithinWatermark(["rev_id"])
 
 
-def weekly_edits(stream: DataFrame, delay: str = "7 days") -> DataFrame:
+def weekly_edits(stream: DataFrame) -> DataFrame:
     """Edits and approximate editors per week starting on Monday; weeks close when the watermark has passed."""
     week = F.window("event_time", "7 days", startTime="4 days")  # the epoch was a Thursday
     return (
-        stream.withWatermark("event_time", delay).groupBy(week).agg(F.count("*").alias("edits"), F.approx_count_distinct("rev_user").alias("editors"))
+        stream.groupBy(week).agg(F.count("*").alias("edits"), F.approx_count_distinct("rev_user").alias("editors"))
         .select(F.col("window.start").cast("date").alias("week"), "edits", "editors")
     )
 
 
-def live_sessions(stream: DataFrame, gap_seconds: int = 3600, delay: str = "1 day") -> DataFrame:
+def live_sessions(stream: DataFrame, gap_seconds: int = 3600) -> DataFrame:
     """Sessions of registered users, closed when the watermark has passed the gap after their last edit."""
     w = F.session_window("event_time", f"{gap_seconds} seconds")
     return (
-        stream.where("rev_user > 0").withWatermark("event_time", delay).groupBy("rev_user", w).agg(F.count("*").alias("edits"), F.max("event_time").alias("last_edit"))
+        stream.where("rev_user > 0").groupBy("rev_user", w).agg(F.count("*").alias("edits"), F.max("event_time").alias("last_edit"))
         .select("rev_user", F.col("session_window.start").alias("started_at"), "last_edit", "edits")
     )
 
