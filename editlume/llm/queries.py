@@ -77,4 +77,20 @@ def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_scores)}
-SQL: dict[str, str] = {}
+# p7: DuckDB has no NFKC; NFC gives the same words wherever a text holds no compatibility characters that matter to a case
+SQL: dict[str, str] = {
+    "p3_found": """WITH t AS (SELECT rev_id, max(text) AS text FROM revision WHERE rev_id IS NOT NULL AND text IS NOT NULL GROUP BY rev_id),
+w AS (SELECT rev_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM t),
+s AS (SELECT DISTINCT rev_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM w WHERE len(w) >= 20),
+c AS (SELECT rev_id, count(*) AS n FROM s GROUP BY rev_id),
+p AS (SELECT a.rev_id AS x, b.rev_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.rev_id < b.rev_id GROUP BY 1, 2)
+SELECT x AS rev_id_a, y AS rev_id_b FROM p JOIN c cx ON cx.rev_id = x JOIN c cy ON cy.rev_id = y WHERE 10 * k >= 6 * (cx.n + cy.n - k)""",
+    "p7_found": """WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE text IS NOT NULL UNION ALL SELECT 'i', item_id, text FROM heldout_item WHERE text IS NOT NULL),
+w AS (SELECT kind, id, regexp_extract_all(lower(nfc_normalize(regexp_replace(text, '\\p{Cf}', '', 'g'))), '[\\p{L}\\p{N}]+') AS w FROM t),
+g3 AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g FROM w),
+g12 AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS g FROM w WHERE len(w) >= 12),
+n AS (SELECT id, count(*) AS n FROM g3 WHERE kind = 'i' GROUP BY id),
+half AS (SELECT d.id AS doc_id, i.id AS item_id FROM g3 d JOIN g3 i ON d.g = i.g AND d.kind = 'd' AND i.kind = 'i' JOIN n ON n.id = i.id GROUP BY d.id, i.id, n.n HAVING 2 * count(*) >= n.n),
+run AS (SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g12 d JOIN g12 i ON d.g = i.g AND d.kind = 'd' AND i.kind = 'i')
+SELECT doc_id, item_id FROM half UNION SELECT doc_id, item_id FROM run""",
+}
