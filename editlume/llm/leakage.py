@@ -37,6 +37,7 @@ ATTEMPTS = ((2, 12), (4, 12), (8, 12), (16, 12), (1 << 40, 1))
 _FILTER_BITS = 22
 _NEVER = np.int64(1) << 40
 _ITEM = (1 << 20) - 1
+MAX_ITEMS = 100_000  # in a block
 _SHIFT = 1 << 26
 
 
@@ -88,22 +89,24 @@ def build_index(ids: list[int], texts: list[str], run: int, shingle: int, share:
     wb = words(text)  # words of the reduced text: same words, offsets in it
     s_hash, s_doc, s_pos = shingles(wb, shingle)
     r_hash, r_doc, _ = shingles(wb, run)
+    edges = np.arange(n + 1)
+    o_at, s_at, r_at = (np.searchsorted(x, edges) for x in (owner, s_doc, r_doc))  # all three ascend
     for i in range(n):
-        mine = np.flatnonzero(owner == i)
+        mine = np.arange(o_at[i], o_at[i + 1])
         a, b = wb.first[i], wb.first[i + 1]
         begin, end = wb.begin[a:b] - text.start[i], wb.end[a:b] - text.start[i]
-        which = s_doc == i
+        which = slice(s_at[i], s_at[i + 1])
         seq, first = np.unique(s_hash[which], return_index=True)
         out.sets.append(seq)
-        out.runs.append(np.unique(r_hash[r_doc == i]))
+        out.runs.append(np.unique(r_hash[r_at[i] : r_at[i + 1]]))
         if not len(seq):
             continue
         starts = s_pos[which][first] - a
         need = int(np.ceil(share * len(seq) - 1e-9))
         for most, least in ATTEMPTS:
-            attempt = in_items <= most
+            attempt = in_items[mine] <= most
             held = np.zeros(text.start[i + 1] - text.start[i] + 1, dtype=np.int64)
-            held[pos[mine][attempt[mine]] + 1] = 1
+            held[pos[mine][attempt] + 1] = 1
             held = np.cumsum(held)  # held[p]: indexed q-grams that begin before p
             inside = lambda lo, hi: np.maximum(held[np.maximum(hi - q + 1, lo)] - held[lo], 0)
             if len(begin) >= run:
@@ -113,7 +116,7 @@ def build_index(ids: list[int], texts: list[str], run: int, shingle: int, share:
             # a position lies in at most `shingle` consecutive sequences
             half_hits[i] = -(-per_seq[:need].sum() // shingle)
             if run_hits[i] >= least and half_hits[i] >= min(least, 4):
-                use[mine] |= attempt[mine]
+                use[mine] |= attempt
                 break
         else:
             unfiltered.append(i)
@@ -229,7 +232,7 @@ def find_leaks(
     run: int = 12,
     shingle: int = 3,
     share: float = 0.5,
-    block_chars: int = 8_000_000,
+    block_chars: int = 2_000_000,
 ) -> DataFrame:
     """(doc_id, item_id, has_run, shared, edits): every text that contains an item, whole or in part.
 
@@ -281,7 +284,7 @@ def find_leaks(
     for r in known.toLocalIterator():
         block.append(r)
         size += len(r["text"])
-        if size >= block_chars:
+        if size >= block_chars or len(block) >= MAX_ITEMS:
             part = search(block)
             found = part if found is None else found.unionByName(part)
             block, size = [], 0
