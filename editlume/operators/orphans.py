@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editlume.operators.skew import heavy_join
+from editlume.session import materialize
 
 
 @dataclass(frozen=True)
@@ -84,11 +85,12 @@ def orphan_references(refs: DataFrame, ref_id: str, period_of: str, loaded: str,
     heavy ones among them by a broadcast bounded by the number of heavy keys.
     """
     fields = list(dict.fromkeys(r.field for r in references))
-    once = (
+    folded = (
         refs.where(F.col(ref_id).isNotNull())
         .groupBy(F.col(ref_id).alias("_id"))
         .agg(*[F.max(f).alias(f) for f in fields], F.max(period_of).alias("_when"), F.min(loaded).cast("timestamp_ntz").alias("first_loaded"))
     )
+    once = materialize(folded, "references")  # narrow, and read several times per field
     out: DataFrame | None = None
     for ref in references:
         faulty = faulty_keys(key_balance(change_deltas(once, ref, loaded, removed)))
