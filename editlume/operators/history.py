@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+PART = ["entity", "period", "part"]
+
 
 def group_set(text: Column) -> Column:
     """The sorted set of lower-case names in a group list of any notation; NULL stays NULL.
@@ -27,27 +29,29 @@ def canonical_name(name: Column) -> Column:
     return F.concat(F.upper(F.left(bare, F.lit(1))), F.substr(bare, F.lit(2)))
 
 
-def checkpoint_delta(changes: DataFrame, period: str = "month") -> tuple[DataFrame, DataFrame]:
-    """Checkpoints (entity, period, state, fresh) and patches (entity, period, ts, id, added, removed).
+def checkpoint_delta(changes: DataFrame, period: str = "month", most: int = 500) -> tuple[DataFrame, DataFrame]:
+    """Checkpoints (entity, period, part, state, fresh) and patches (entity, period, part, ts, id, added, removed).
 
-    `changes` has entity, ts, id, state (an array, the full set after the change). The checkpoint of
-    an entity and period is its state when the period begins (`fresh`: it had none). A patch holds
-    what a change adds to and removes from the state before it.
+    `changes` has entity, ts, id, state (an array, the full set after the change). A period of an
+    entity has a part for every `most` changes. The checkpoint of a part is the state when it begins
+    (`fresh`: there was none). A patch holds what a change adds to and removes from the state before.
 
-    Order is looked at within one entity and period; across periods only one row per period is
-    ordered, so an entity with very many changes is spread over its periods.
+    Order is looked at within one entity and period; across them only one row per part is ordered,
+    so an entity with very many changes is spread over its periods, and no fold is longer than `most`.
     """
+    within = Window.partitionBy("entity", "period").orderBy("ts", "id")
     dated = changes.withColumn("period", F.date_trunc(period, F.col("ts")).cast("timestamp_ntz"))
-    inside = Window.partitionBy("entity", "period").orderBy("ts", "id")
-    ends = dated.groupBy("entity", "period").agg(F.max_by("state", F.struct("ts", "id")).alias("_end"))
-    across = Window.partitionBy("entity").orderBy("period")
+    dated = dated.withColumn("part", F.floor((F.row_number().over(within) - 1) / most).cast("int"))
+    inside = Window.partitionBy(*PART).orderBy("ts", "id")
+    ends = dated.groupBy(*PART).agg(F.max_by("state", F.struct("ts", "id")).alias("_end"))
+    across = Window.partitionBy("entity").orderBy("period", "part")
     checkpoints = ends.withColumn("_before", F.lag("_end").over(across)).select(
-        "entity", "period", F.coalesce("_before", F.array().cast("array<string>")).alias("state"), F.col("_before").isNull().alias("fresh")
+        *PART, F.coalesce("_before", F.array().cast("array<string>")).alias("state"), F.col("_before").isNull().alias("fresh")
     )
-    joined = dated.join(checkpoints.select("entity", "period", F.col("state").alias("_cp")), ["entity", "period"])
+    joined = dated.join(checkpoints.select(*PART, F.col("state").alias("_cp")), PART)
     prior = F.coalesce(F.lag("state").over(inside), F.col("_cp"))
     patches = joined.withColumn("_prior", prior).select(
-        "entity", "period", "ts", "id", F.array_except("state", "_prior").alias("added"), F.array_except("_prior", "state").alias("removed")
+        *PART, "ts", "id", F.array_except("state", "_prior").alias("added"), F.array_except("_prior", "state").alias("removed")
     )
     return checkpoints, patches
 
@@ -55,12 +59,12 @@ def checkpoint_delta(changes: DataFrame, period: str = "month") -> tuple[DataFra
 def reconstruct(checkpoints: DataFrame, patches: DataFrame) -> DataFrame:
     """Validity rows: entity, id, state, valid_from, valid_to, next_id (NULL in the open version).
 
-    The patches of an entity and period are folded forward over its checkpoint. A change that
+    The patches of a part are folded forward over its checkpoint. A change that
     leaves the state as it was opens no version, except an entity's first. Ties in ts are ordered
     by id.
     """
-    grouped = patches.groupBy("entity", "period").agg(F.array_sort(F.collect_list(F.struct("ts", "id", "added", "removed"))).alias("_p"))
-    both = grouped.join(checkpoints, ["entity", "period"])
+    grouped = patches.groupBy(*PART).agg(F.array_sort(F.collect_list(F.struct("ts", "id", "added", "removed"))).alias("_p"))
+    both = grouped.join(checkpoints, PART)
     start = F.struct(F.col("state").alias("state"), F.expr("cast(array() as array<struct<ts:timestamp_ntz,id:bigint,state:array<string>>>)").alias("versions"))
 
     def fold(acc: Column, patch: Column) -> Column:
@@ -70,8 +74,8 @@ def reconstruct(checkpoints: DataFrame, patches: DataFrame) -> DataFrame:
         row = F.array(F.struct(patch["ts"].alias("ts"), patch["id"].alias("id"), state.alias("state")))
         return F.struct(state.alias("state"), F.when(opens, F.concat(acc["versions"], row)).otherwise(acc["versions"]).alias("versions"))
 
-    folded = both.select("entity", "period", F.aggregate("_p", start, fold, lambda acc: acc["versions"]).alias("_v")).where(F.size("_v") > 0)
-    across = Window.partitionBy("entity").orderBy("period")
+    folded = both.select(*PART, F.aggregate("_p", start, fold, lambda acc: acc["versions"]).alias("_v")).where(F.size("_v") > 0)
+    across = Window.partitionBy("entity").orderBy("period", "part")
     nxt = folded.withColumn("_next", F.lead(F.element_at("_v", 1)).over(across))
     rows = nxt.select("entity", "_v", "_next", F.posexplode("_v").alias("_i", "_row"))
     following = F.coalesce(F.get("_v", F.col("_i") + 1), F.col("_next"))

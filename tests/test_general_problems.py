@@ -162,13 +162,14 @@ def test_canonical_names(spark):
 LEVEL = "level_log_id long, level_username string, level_timestamp timestamp_ntz, level_old string, level_new string, entity string, state string, period int"
 
 
-def histories(spark, rows, users):
+def histories(spark, rows, users, most=500):
     lv = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], LEVEL)
     wu = spark.createDataFrame(users, "user_id long, user_name string")
-    return reconstruct(*checkpoint_delta(rights_changes(lv, wu)))
+    return reconstruct(*checkpoint_delta(rights_changes(lv, wu), most=most))
 
 
-def test_history_against_loop(spark):
+@pytest.mark.parametrize("most", [500, 3])
+def test_history_against_loop(spark, most):
     rnd = random.Random(9)
     groups = ["bot", "sysop", "oversight"]
     rows = []
@@ -188,7 +189,7 @@ def test_history_against_loop(spark):
         for k, (ts, i, s) in enumerate(opened):
             nxt = opened[k + 1] if k + 1 < len(opened) else (None, None, None)
             want.add((u, i, s, ts, nxt[0], nxt[1]))
-    got = {(r.entity, r.id, tuple(r.state), r.valid_from, r.valid_to, r.next_id) for r in histories(spark, rows, [(1, "Hot")]).collect()}
+    got = {(r.entity, r.id, tuple(r.state), r.valid_from, r.valid_to, r.next_id) for r in histories(spark, rows, [(1, "Hot")], most).collect()}
     assert got == want
 
 
