@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from editlume.session import ship_package
+
 
 def _value_table(df: DataFrame, value: str) -> DataFrame:
     """Distinct values with their counts and the running count and sum before them.
@@ -148,6 +150,7 @@ def lowess(df: DataFrame, by: Sequence[str], x: str, y: str, span: float = 2 / 3
         pdf["fitted"] = lowess_fit(pdf["_x"].to_numpy(), pdf["_y"].to_numpy(), span)
         return pdf
 
+    ship_package(df.sparkSession)
     d = df.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
     schema = T.StructType([*d.schema.fields, T.StructField("fitted", T.DoubleType())])
     return d.groupBy(*by).applyInPandas(fit, schema).select(*by, F.col("_x").alias("x"), F.col("_y").alias("y"), "fitted")
@@ -211,6 +214,7 @@ def stl(df: DataFrame, by: Sequence[str], time: str, value: str, period: int = 1
         s, t, r = stl_decompose(y, period, seasonal) if len(y) else (y, y, y)
         return pdf.assign(seasonal=s, trend=t, remainder=r)
 
+    ship_package(df.sparkSession)
     d = df.select(*by, F.col(time).alias("_t"), F.col(value).cast("double").alias("_v"))
     schema = T.StructType([*d.schema.fields, *[T.StructField(c, T.DoubleType()) for c in ("seasonal", "trend", "remainder")]])
     out = d.groupBy(*by).applyInPandas(run, schema)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,23 @@ def build_session(master: str | None = None, app: str = "editlume", **conf: str)
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    home = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="editlume-code-")) / "editlume.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, Path("editlume") / p.relative_to(home))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session, a local one only where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from editlume.schemas import SQL_DUMPS
+from editlume.session import ship_package
 
 _ESCAPES = {"0": "\0", "n": "\n", "r": "\r", "t": "\t", "b": "\b", "Z": "\x1a"}
 
@@ -66,6 +67,7 @@ def read_sql_dump(spark: SparkSession, path: str, table: str, schema: str | None
     """
     target: T.StructType = T._parse_datatype_string(schema or SQL_DUMPS[table])  # type: ignore[assignment]
     names = target.fieldNames()
+    ship_package(spark)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from editlume import schemas
 from editlume.functions import revision as R
+from editlume.session import ship_package
 
 _CHUNK = 1 << 20
 
@@ -20,6 +21,7 @@ def _is_lzma(path: str) -> bool:
 
 def _records(spark: SparkSession, paths: Sequence[str], tag: str) -> DataFrame:
     """One row (`record`) per <tag> element of xz or lzma files, decompressed as a stream by one task per file."""
+    ship_package(spark)
     opening, closing = f"<{tag}".encode(), f"</{tag}>".encode()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
