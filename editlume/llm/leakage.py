@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editlume.llm.textnum import Batch, U, Words, pieces, qgrams, shingles, to_batch, word_text, words
+from editlume.session import ship_package
 
 Q = 10
 BAND = 32
@@ -247,6 +248,7 @@ def find_leaks(
     differing texts, any of them may make the case). Extra columns are ignored.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     schema = f"{doc_id} long, {item_id} long, has_run boolean, shared double, edits int"
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     known = items.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null").distinct()

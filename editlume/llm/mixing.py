@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from editlume.session import materialize
+from editlume.session import materialize, ship_package
 
 MAX_CELLS = 200_000
 
@@ -38,6 +38,7 @@ def count_tokens(docs: DataFrame, text: str, ranks_path: str, pattern: str) -> D
     The text column is dropped: what follows needs sizes only.
     """
     kept = [c for c in docs.columns if c != text]
+    ship_package(docs.sparkSession)
     schema = docs.select(*kept).schema.add("n_tokens", "long")
     at = len(kept)
 
