@@ -37,13 +37,19 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
-def revision(spark: SparkSession, sf: str) -> DataFrame:
+BEFORE_END = f"rev_timestamp < timestamp_ntz{_Q}"
+IN_PERIOD = f"rev_timestamp >= timestamp_ntz{_P} and {BEFORE_END}"
+
+
+def revision(spark: SparkSession, sf: str, where: str | None = None) -> DataFrame:
     """One row per rev_id; of repeated rows the largest value of each column holds (one shuffle, partial aggregates).
 
-    Only the columns a query uses are read and carried: unused aggregates are pruned.
+    Only the columns a query uses are read and carried: unused aggregates are pruned. Repeated rows
+    carry the same page, user and time, so `where` on these filters the rows before the fold and reaches the scan.
     """
     cols = ("rev_page", "rev_user", "rev_timestamp", "rev_len", "rev_parent_id", "rev_is_redirect", "rev_minor_edit", "rev_fa", "rev_flist", "rev_ga")
-    return table(spark, sf, "revision").where("rev_id is not null").groupBy("rev_id").agg(*[F.max(c).alias(c) for c in cols])
+    rows = table(spark, sf, "revision").where("rev_id is not null")
+    return (rows if where is None else rows.where(where)).groupBy("rev_id").agg(*[F.max(c).alias(c) for c in cols])
 
 
 _REV = """
@@ -283,7 +289,7 @@ spans AS (SELECT rev_page, min(rev_timestamp) FILTER (WHERE rev_fa = 1) AS min_t
 
 
 def _spans(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.featured_spans(revision(spark, sf), UP)
+    return pages.featured_spans(revision(spark, sf, BEFORE_END), UP)
 
 
 @query(f"WITH {_REV}, {_SPANS} SELECT rev_page, min_ts_fa, max_ts_fa FROM spans")
@@ -305,7 +311,7 @@ _one("month_new_fa", lambda s, d: pages.featured_counts(_spans(s, d), LOW), f"WI
 
 @query(f"WITH {_REV}, {_BOTS}, {_MONTH} SELECT * FROM month")
 def rev_month(spark: SparkSession, sf: str) -> DataFrame:
-    return editors.month_revisions(revision(spark, sf), LOW, UP)
+    return editors.month_revisions(revision(spark, sf, f"{IN_PERIOD} and rev_user > 0"), LOW, UP)
 
 
 @query(f"WITH {_REV}, {_BOTS}, {_MONTH} SELECT * FROM human")
@@ -325,7 +331,7 @@ for _name, _n in (("month_active_users", editors.ACTIVE), ("month_very_active_us
 
 @query(f"""WITH {_REV} SELECT rev_user, count(*) AS n FROM rev WHERE rev_user > 0 GROUP BY rev_user HAVING count(*) > 30""")
 def users_above_30_edits(spark: SparkSession, sf: str) -> DataFrame:
-    return revision(spark, sf).where("rev_user > 0").groupBy("rev_user").agg(F.count("*").alias("n")).where("n > 30")
+    return revision(spark, sf, "rev_user > 0").groupBy("rev_user").agg(F.count("*").alias("n")).where("n > 30")
 
 
 _one(
@@ -334,7 +340,7 @@ _one(
     f"{_WITH} SELECT count(DISTINCT rev_user) AS month_sysops FROM human WHERE rev_user IN (SELECT ug_user FROM user_groups WHERE ug_group = 'sysop')",
 )
 for _name, _from in (("month_edits", f"rev WHERE rev_timestamp >= {_P} AND rev_timestamp < {_Q}"), ("month_edits_reg", "month"), ("month_edits_nobots", "human")):
-    _one(_name, lambda s, d: editors.edit_counts(revision(s, d), table(s, d, "user_groups"), LOW, UP), f"{_WITH} SELECT count(*) AS {_name} FROM {_from}")
+    _one(_name, lambda s, d: editors.edit_counts(revision(s, d, IN_PERIOD), table(s, d, "user_groups"), LOW, UP), f"{_WITH} SELECT count(*) AS {_name} FROM {_from}")
 
 
 @query(f"""{_WITH} SELECT (SELECT count(DISTINCT rev_user) FROM month)
@@ -408,7 +414,7 @@ def stl_monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_REV} SELECT rev_user, count(*) AS n FROM rev WHERE rev_user > 0 GROUP BY rev_user")
 def edits_per_user(spark: SparkSession, sf: str) -> DataFrame:
-    return revision(spark, sf).where("rev_user > 0").groupBy("rev_user").agg(F.count("*").alias("n"))
+    return revision(spark, sf, "rev_user > 0").groupBy("rev_user").agg(F.count("*").alias("n"))
 
 
 _EDITS = "e AS (SELECT rev_user, count(*) AS n FROM rev WHERE rev_user > 0 GROUP BY rev_user)"
@@ -428,7 +434,7 @@ def lorenz(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _user_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return revision(spark, sf).where("rev_user > 0").groupBy("rev_user").agg(F.count("*").alias("n"), F.count_distinct("rev_page").alias("n_pages"), F.sum("rev_len").alias("len"))
+    return revision(spark, sf, "rev_user > 0").groupBy("rev_user").agg(F.count("*").alias("n"), F.count_distinct("rev_page").alias("n_pages"), F.sum("rev_len").alias("len"))
 
 
 _SIZES = "z AS (SELECT rev_user, count(*) AS n, count(DISTINCT rev_page) AS n_pages, sum(rev_len) AS len FROM rev WHERE rev_user > 0 GROUP BY rev_user)"
@@ -504,7 +510,7 @@ _RANGE_SQL = "ranges(lo, hi, country) AS (VALUES " + ", ".join(f"({a}::BIGINT, {
 
 
 def _addresses(spark: SparkSession, sf: str) -> DataFrame:
-    r = revision(spark, sf).where("rev_user = 0").select("rev_id", "rev_page")
+    r = revision(spark, sf, "rev_user = 0").select("rev_id", "rev_page")
     return r.withColumn("ip_v4", F.pmod(F.col("rev_id") * 2_654_435_761, F.lit(4_294_967_296)))
 
 
@@ -540,7 +546,7 @@ def page_ns_join(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {_REV}, g AS (SELECT ug_user, string_agg(DISTINCT ug_group, ',' ORDER BY ug_group) AS g FROM user_groups GROUP BY ug_user)
 SELECT u.rev_user, coalesce(g, 'registered') AS user_group FROM (SELECT DISTINCT rev_user FROM rev WHERE rev_user > 0) u LEFT JOIN g ON u.rev_user = ug_user""")
 def user_group_label(spark: SparkSession, sf: str) -> DataFrame:
-    return editors.group_label(revision(spark, sf).where("rev_user > 0").select("rev_user").distinct(), table(spark, sf, "user_groups"))
+    return editors.group_label(revision(spark, sf, "rev_user > 0").select("rev_user").distinct(), table(spark, sf, "user_groups"))
 
 
 @query(f"""WITH {_REV}, o AS (SELECT rev_user, rev_timestamp, min(rev_id) AS rev_id FROM rev WHERE rev_user IS NOT NULL AND rev_timestamp IS NOT NULL GROUP BY 1, 2)
