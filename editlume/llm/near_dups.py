@@ -13,10 +13,12 @@ Those whose set parities prove them too far apart are dropped, which loses none;
 verified on its whole sets of word sequences. The README has the measured
 share of pairs missed.
 
-Frequent sequences. A sketch of all sequences' counts (a table of fixed size) weighs the random
-order: a sequence that occurs c times gets weight min(1, T/c). Anchors are then seldom stock
-phrases, whatever share of the texts has them, and the expected number of texts that meet at one
-anchor is of order T rather than of the corpus.
+Crowded anchors. A stock phrase may be the anchor of any number of texts. Those of more than `CROWD`
+texts are not compared pair by pair; all texts that have such an anchor meet by prefixes instead,
+which loses none of their pairs: sets that share `threshold` of their union have a member in common
+among the n - ceil(threshold n) + 1 first members of either, in any one order of all sequences. The
+order is by a sketch of the counts among these texts (a table of fixed size), rarest first, so that
+stock phrases are in a prefix only where they make up most of the text.
 
 Equal texts are folded to one class before anything else.
 """
@@ -39,7 +41,7 @@ SLOTS = 20
 CONTEXT = 3
 SKETCH_BITS = 22
 FILTER_BITS = 22
-COMMON = 8
+CROWD = 32
 PARITY_LONGS = 8
 PARITY = [f"p{k}" for k in range(PARITY_LONGS)]
 _BLOCK_BITS = 14
@@ -88,9 +90,14 @@ def _merged_table(rows: DataFrame, bits: int, values: Callable[[pa.RecordBatch],
     return out.reshape(-1)
 
 
-def count_sketch(texts: DataFrame, shingle: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counts of all word sequences of the one column of `texts`, by hash."""
-    return _merged_table(texts, bits, lambda piece: shingles(words(to_batch(piece.column(0).to_pylist())), shingle)[0])
+def count_sketch(texts: DataFrame, shingle: int, wanted: Broadcast, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Counts of all word sequences of the rows (text, id) of `texts` whose id passes the `wanted` filter, by 54-bit hash."""
+
+    def values(piece: pa.RecordBatch) -> np.ndarray:
+        piece = piece.filter(_passing(piece.column(1), wanted.value))
+        return shingles(words(to_batch(piece.column(0).to_pylist())), shingle)[0] >> U(10)
+
+    return _merged_table(texts, bits, values)
 
 
 def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -98,6 +105,10 @@ def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return _merged_table(ids, bits, lambda batch: mix(batch.column(0).to_numpy().view(U))) > 0
 
 
+def _passing(ids: pa.Array, table: np.ndarray) -> pa.Array:
+    return pa.array(table[(mix(ids.to_numpy().view(U)) & U(len(table) - 1)).astype(np.int64)])
+
+
 def _distinct(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct hashes of each text, as their upper 54 bits, ordered by text and hash.
 
@@ -118,7 +129,7 @@ def _parities(h: np.ndarray, doc: np.ndarray, n_texts: int) -> tuple[np.ndarray,
     return np.bincount(doc, minlength=n_texts), np.packbits(odd.reshape(n_texts, bits), axis=1).view(np.int64)
 
 
-def _segments(texts: list[str], sketch: np.ndarray, anchor: int, min_words: int) -> tuple[np.ndarray, ...]:
+def _segments(texts: list[str], anchor: int, min_words: int) -> tuple[np.ndarray, ...]:
     """(row, class hash 1, class hash 2, anchors, fields, set size, parities) of the texts with enough words."""
     b = to_batch(texts)
     w = words(b)
@@ -136,7 +147,6 @@ def _segments(texts: list[str], sketch: np.ndarray, anchor: int, min_words: int)
     place = (np.arange(len(h)) - np.repeat(first, size)).astype(U)
     c1 = np.add.reduceat(mix(h ^ mix(place)), first)
     c2 = np.add.reduceat(mix(h + mix(place + U(0x5851F42D4C957F2D))), first)
-    heavy = np.maximum(sketch[(h & U(len(sketch) - 1)).astype(np.int64)] / COMMON, 1.0)
     anchors = np.zeros((len(rows), SLOTS), dtype=U)
     fields = np.zeros((len(rows), SLOTS), dtype=np.int64)
     lo, hi = w.first[rows], w.first[rows + 1]
@@ -144,7 +154,7 @@ def _segments(texts: list[str], sketch: np.ndarray, anchor: int, min_words: int)
     offsets = [*range(-CONTEXT, 0), *range(anchor, anchor + CONTEXT)]
     for s in range(SLOTS):
         seed = mix(np.array([s + 1], dtype=U))[0]
-        order = -np.log(((mix(h ^ seed) >> U(11)).astype(np.float64) + 0.5) * 2.0**-53) * heavy
+        order = mix(h ^ seed)
         least = np.minimum.reduceat(order, first)
         hits = np.flatnonzero(order == np.repeat(least, size))
         at = hits[np.searchsorted(hits, first, side="left")]
@@ -158,13 +168,13 @@ def _segments(texts: list[str], sketch: np.ndarray, anchor: int, min_words: int)
     return rows, c1.view(np.int64), c2.view(np.int64), anchors.view(np.int64), fields, n_distinct[rows], parity[rows]
 
 
-def fingerprints(rows: DataFrame, sketch: Broadcast, anchor: int, min_words: int) -> DataFrame:
+def fingerprints(rows: DataFrame, anchor: int, min_words: int) -> DataFrame:
     """(id, c1, c2, anchors, fields, n, p0, p1, ...) of each row (id, text) whose text has enough words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 1):
-                at, c1, c2, anchors, fields, n, parity = _segments(piece.column(1).to_pylist(), sketch.value, anchor, min_words)
+                at, c1, c2, anchors, fields, n, parity = _segments(piece.column(1).to_pylist(), anchor, min_words)
                 offsets = pa.array(np.arange(len(at) + 1) * SLOTS, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -182,11 +192,21 @@ def fingerprints(rows: DataFrame, sketch: Broadcast, anchor: int, min_words: int
     return rows.mapInArrow(run, "id long, c1 long, c2 long, anchors array<long>, fields array<int>, n long, " + ", ".join(f"{p} long" for p in PARITY))
 
 
-def fuzzy_keys(segments: DataFrame) -> DataFrame:
-    """(key, rep, field): one row per segment (anchor, field, rep) and code word index."""
+def anchor_filter(segments: DataFrame, wanted: Broadcast) -> np.ndarray:
+    """As `id_filter`, for the anchors of the segments whose rep passes the `wanted` filter."""
+
+    def values(batch: pa.RecordBatch) -> np.ndarray:
+        return mix(batch.column(0).filter(_passing(batch.column(1), wanted.value)).to_numpy().view(U))
+
+    return _merged_table(segments.select("anchor", "rep"), FILTER_BITS, values) > 0
+
+
+def fuzzy_keys(segments: DataFrame, wanted: Broadcast) -> DataFrame:
+    """(key, rep, field): one row per code word index of each segment (anchor, field, rep) whose anchor passes the `wanted` filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(_passing(batch.column(0), wanted.value))
             anchor, field, rep = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
             index = golay.indices(field)
             row, col = np.nonzero(index >= 0)
@@ -205,8 +225,7 @@ def shingle_sets(rows: DataFrame, shingle: int, wanted: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            passes = wanted.value[(mix(batch.column(0).to_numpy().view(U)) & U(len(wanted.value) - 1)).astype(np.int64)]
-            for piece in pieces(batch.filter(pa.array(passes)), 1):
+            for piece in pieces(batch.filter(_passing(batch.column(0), wanted.value)), 1):
                 h, doc, _ = shingles(words(to_batch(piece.column(1).to_pylist())), shingle)
                 h, doc = _distinct(h, doc)
                 offsets = np.searchsorted(doc, np.arange(piece.num_rows + 1), side="left").astype(np.int32)
@@ -217,6 +236,54 @@ def shingle_sets(rows: DataFrame, shingle: int, wanted: Broadcast) -> DataFrame:
     return rows.mapInArrow(run, "rep long, grams array<long>")
 
 
+def prefixes(rows: DataFrame, shingle: int, threshold: float, wanted: Broadcast, sketch: Broadcast) -> DataFrame:
+    """(rep, n, tokens, places) of each row (id, text) whose id passes the `wanted` filter.
+
+    n is the size of its set, tokens 32 bits of the members of its prefix, rarest first, and places their
+    places in the order of the whole set. Members the sketch has counted once are no other text's and left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch.filter(_passing(batch.column(0), wanted.value)), 1):
+                h, doc, _ = shingles(words(to_batch(piece.column(1).to_pylist())), shingle)
+                h, doc = _distinct(h, doc)
+                count = sketch.value[(h & U(len(sketch.value) - 1)).astype(np.int64)]
+                by = np.lexsort((h, count, doc))
+                h, count = h[by], count[by]
+                n = np.bincount(doc, minlength=piece.num_rows)
+                place = np.arange(len(h)) - (np.cumsum(n) - n)[doc]
+                keep = (place <= (n - np.ceil(threshold * n - 1e-9))[doc]) & (count > 1)
+                offsets = pa.array(np.searchsorted(doc[keep], np.arange(piece.num_rows + 1), side="left").astype(np.int32))
+                tokens, places = pa.array(h[keep].astype(np.uint32).view(np.int32)), pa.array(place[keep].astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0), pa.array(n.astype(np.int32)), pa.ListArray.from_arrays(offsets, tokens), pa.ListArray.from_arrays(offsets, places)],
+                    names=["rep", "n", "tokens", "places"],
+                )
+
+    return rows.mapInArrow(run, "rep long, n int, tokens array<int>, places array<int>")
+
+
+def crowd_pairs(rows: DataFrame, crowd: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """All pairs (a, b), a < b, of the texts `crowd` (rep) that can reach the threshold by their prefixes.
+
+    The first member two prefixes have in common bounds what the sets share to what follows it. A
+    common token that comes right after a common one makes no row: the one before has made it.
+    """
+    spark = rows.sparkSession
+    wanted = spark.sparkContext.broadcast(id_filter(crowd))
+    sketch = spark.sparkContext.broadcast(count_sketch(rows.select("text", "id"), shingle, wanted))
+    once = materialize(prefixes(rows, shingle, threshold, wanted, sketch).join(crowd, "rep", "left_semi").dropDuplicates(["rep"]), "prefixes")
+    before = F.concat(F.array(F.lit(None).cast("int")), "tokens")
+    entries = once.where("size(tokens) > 0").select("rep", "n", F.inline(F.arrays_zip("tokens", "places", before.alias("before")))).where("tokens is not null")
+    a, b = (entries.select("tokens", *[F.col(c).alias(c + x) for c in ("rep", "n", "places", "before")]) for x in "ab")
+    rest = F.least(F.col("na") - F.col("placesa"), F.col("nb") - F.col("placesb"))
+    enough = rest >= (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9
+    first = F.coalesce(F.col("beforea") != F.col("beforeb"), F.lit(True))
+    met = a.join(b, "tokens").where((F.col("repa") < F.col("repb")) & enough & first)
+    return met.select(F.col("repa").alias("a"), F.col("repb").alias("b"))
+
+
 def possible_pairs(pairs: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) that can still reach the threshold, judged without their sets.
 
@@ -248,8 +315,7 @@ def near_duplicate_classes(
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    sketch = spark.sparkContext.broadcast(count_sketch(rows.select("text"), shingle))
-    prints = materialize(fingerprints(rows, sketch, shingle, max(min_words, shingle)), "fingerprints")
+    prints = materialize(fingerprints(rows, shingle, max(min_words, shingle)), "fingerprints")
     classes = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("anchors", "fields", "n", *PARITY)])
     folded = materialize(classes, "classes")
     copies = prints.groupBy("c1", "c2").agg(F.count_distinct("id").alias("n_copies"))
@@ -257,15 +323,20 @@ def near_duplicate_classes(
     members = materialize(ranked.select("id", "rep", "n_copies").distinct(), "members")
     drop_materialized(prints)
     segments = folded.select("rep", F.inline(F.arrays_zip("anchors", "fields")).alias("anchor", "field"))
-    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor")
-    met = materialize(segments.join(shared, "anchor", "left_semi"), "met-segments")
+    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor", (F.col("_n") > CROWD).alias("crowded"))
+    met = materialize(segments.join(shared, "anchor"), "met-segments")
+    crowd = materialize(met.where("crowded").select("rep").distinct(), "crowd")
     sizes = materialize(folded.select("rep", "n", *PARITY), "set-sizes")
     drop_materialized(folded)
-    keys = fuzzy_keys(met)
+    # pairs of two texts of the crowd are all found by prefixes, so an anchor needs keys only if another text has it
+    others = spark.sparkContext.broadcast(id_filter(sizes.select("rep").join(crowd, "rep", "left_anti")))
+    uncrowded = met.where("not crowded")
+    keys = fuzzy_keys(uncrowded, spark.sparkContext.broadcast(anchor_filter(uncrowded, others)))
     left, right = keys.select("key", F.col("rep").alias("a"), F.col("field").alias("fa")), keys.select("key", F.col("rep").alias("b"), F.col("field").alias("fb"))
     near = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= golay.TOLERANCE
-    met_pairs = materialize(left.join(right, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct(), "met-pairs")
+    few = materialize(left.join(right, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct(), "fuzzy-pairs")
     drop_materialized(met)
+    met_pairs = materialize(few.unionByName(crowd_pairs(rows, crowd, shingle, threshold)).distinct(), "met-pairs")
     pairs = materialize(possible_pairs(met_pairs, sizes, threshold), "candidates")
     wanted = spark.sparkContext.broadcast(id_filter(pairs.select(F.col("a").alias("id")).union(pairs.select("b"))))
     sets = shingle_sets(rows, shingle, wanted).groupBy("rep").agg(F.max("grams").alias("grams"))

@@ -82,6 +82,30 @@ def test_many_copies_stay_one_class(spark):
     assert links.count() == 0 and m.count() == 500 and m.select("rep").distinct().count() == 1
 
 
+def variant(rnd, words, k):
+    """`words` with four words of its own, so that any two variants share at least 94 of at most 142 sequences."""
+    own = list(words)
+    for p in rnd.sample(range(len(own)), 4):
+        own[p] = f"own{k}x{p}"
+    return " ".join(own)
+
+
+def test_large_group_of_variants(spark):
+    rnd, n = random.Random(7), 1500
+    words = [f"g{k}" for k in range(120)]
+    m, links = near_duplicate_classes(frame(spark, [(k, variant(rnd, words, k)) for k in range(n)]), "rev_id", "text", 3, 0.6, 20)
+    assert links.count() == n * (n - 1) // 2
+
+
+def test_copies_and_one_variant(spark):
+    rnd, rows = random.Random(8), []
+    for g in range(8):
+        words = [f"g{g}w{k}" for k in range(120)]
+        rows += [(10_000 * g + k, " ".join(words)) for k in range(3000)] + [(10_000 * g + 9999, variant(rnd, words, g))]
+    m, links = near_duplicate_classes(frame(spark, rows), "rev_id", "text", 3, 0.6, 20)
+    assert {(r.a, r.b) for r in links.collect()} == {(10_000 * g, 10_000 * g + 9999) for g in range(8)}
+
+
 def test_chain_of_groups(spark):
     words = [f"c{k}" for k in range(200)]
     rows = [(k, " ".join(words[5 * k : 5 * k + 60])) for k in range(25)]  # neighbours are alike, ends are not
