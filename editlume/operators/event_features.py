@@ -68,14 +68,20 @@ def window_features(
     as_of: date | None = None,
     windows: Sequence[int] = (30, 365),
     value: str | None = None,
+    undated: bool = False,
 ) -> DataFrame:
-    """One row per entity and type with events up to `as_of` (all, if None).
+    """One row per entity and type with dated events up to `as_of` (all, if None).
 
     n, total: up to the as-of day; n_<w>d, total_<w>d: within its last w days, each the difference
     of two endpoints of the cumulative cells; last_ts, last_id: the latest event by (ts, id).
     With as_of None windows end at the entity's and type's own last day. Empty input, empty result.
+    undated: events without a timestamp count in n and total, in no window, and give a row (last_ts and
+    last_id NULL) where nothing is dated; only with as_of None, as they are on no side of a day.
     """
-    cum = cumulative_cells(daily_cells(events, entity, event_id, ts, type_cols, value), len(type_cols))
+    if undated and as_of is not None:
+        raise ValueError("events without a timestamp are not before any day")
+    cells = daily_cells(events, entity, event_id, ts, type_cols, value)
+    cum = cumulative_cells(cells, len(type_cols))
     key = ["_entity", *[f"_t{i}" for i in range(len(type_cols))]]
     if as_of is None:
         end: Column = F.max("day").over(Window.partitionBy(*key))
@@ -83,17 +89,23 @@ def window_features(
         end = F.lit(as_of)
         cum = cum.where(F.col("day") <= end)
     cum = cum.withColumn("_end", end)
+    if undated:
+        cum = cum.unionByName(cells.where("day is null"), allowMissingColumns=True)
+    rest = lambda c: F.coalesce(F.sum(F.when(F.col("day").isNull(), F.col(c))), F.lit(0))
     at = lambda c, upto: F.coalesce(F.max(F.when(F.col("day") <= upto, F.struct("day", c))).getField(c), F.lit(0))
     aggs = [
         at("cum_n", F.col("_end")).alias("n"),
         at("cum_total", F.col("_end")).alias("total"),
         F.max("last").alias("_last"),
+        rest("n").alias("_n_undated"),
+        rest("total").alias("_s_undated"),
     ]
     for w in windows:
         start = F.date_sub(F.col("_end"), w)
         aggs += [at("cum_n", start).alias(f"_n{w}"), at("cum_total", start).alias(f"_s{w}")]
     out = cum.groupBy(*key).agg(*aggs)
-    cols = [F.col("_entity").alias(entity), *[F.col(f"_t{i}").alias(c) for i, c in enumerate(type_cols)], F.col("n"), F.col("total")]
+    cols = [F.col("_entity").alias(entity), *[F.col(f"_t{i}").alias(c) for i, c in enumerate(type_cols)]]
+    cols += [(F.col("n") + F.col("_n_undated")).alias("n"), (F.col("total") + F.col("_s_undated")).alias("total")]
     for w in windows:
         cols += [(F.col("n") - F.col(f"_n{w}")).alias(f"n_{w}d"), (F.col("total") - F.col(f"_s{w}")).alias(f"total_{w}d")]
     return out.select(*cols, F.col("_last._ts").alias("last_ts"), F.col("_last._id").alias("last_id"))

@@ -20,9 +20,9 @@ SESSION_GAP_S = 3600
 HEAVY_SHARE = 0.02
 
 
-def _features(spark: SparkSession, sf: str, as_of: date | None = None) -> DataFrame:
+def _features(spark: SparkSession, sf: str, as_of: date | None = None, undated: bool = False) -> DataFrame:
     log = table(spark, sf, "logging").where("log_user > 0")
-    return window_features(log, "log_user", "log_id", "log_timestamp", ["log_type", "log_action"], as_of, (30, 365), "log_new_flag")
+    return window_features(log, "log_user", "log_id", "log_timestamp", ["log_type", "log_action"], as_of, (30, 365), "log_new_flag", undated)
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,7 +34,7 @@ def p1_window_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    return feature_table(_features(spark, sf), "log_user", ["log_type", "log_action"])
+    return feature_table(_features(spark, sf, undated=True), "log_user", ["log_type", "log_action"])
 
 
 def _sessions(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,7 @@ from editlume.operators.history import canonical_name, checkpoint_delta, group_s
 from editlume.operators.orphans import Reference, orphan_references, orphan_report
 from editlume.operators.sessions import sessionize
 from editlume.operators.skew import heavy_join, heavy_keys, salted_aggregate
+from editlume.plans import problems
 
 T0 = datetime(2015, 1, 1)
 EVENTS = "log_id long, log_user long, log_type string, log_action string, log_timestamp timestamp_ntz, v long, _entity string, day int"
@@ -62,6 +63,21 @@ def test_features_nulls_and_empty(spark):
     assert len(table) == 1 and table[0].n_types == 1 and list(table[0].features) == ["/"]
 
 
+def test_undated_events_count(spark, tmp_path):
+    rows = [(1, 5, "a", "b", T0, 3), (2, 5, "a", "b", None, 4), (2, 5, "a", "b", None, 4), (3, 5, "c", "d", None, None), (4, 6, "A ", "b", None, 2)]
+    df = events(spark, rows)
+    got = window_features(df, "log_user", "log_id", "log_timestamp", ["log_type", "log_action"], None, (30,), "v", undated=True).collect()
+    assert sorted((r.log_user, r.log_type, r.n, r.total, r.n_30d, r.total_30d, r.last_ts, r.last_id) for r in got) == [
+        (5, "a", 2, 7, 1, 3, T0, 1), (5, "c", 1, 0, 0, 0, None, None), (6, "a", 1, 2, 0, 0, None, None)
+    ]
+    df.withColumnRenamed("v", "log_new_flag").write.parquet(f"{tmp_path}/logging.parquet")
+    users = {r.log_user: r for r in problems.p1_feature_table(spark, str(tmp_path)).collect()}
+    assert {u: (r.n_events, r.n_types, r.last_ts) for u, r in users.items()} == {5: (3, 2, T0), 6: (1, 1, None)}
+    assert users[5].features["a/b"].total == 7 and [r.log_user for r in problems.p1_found(spark, str(tmp_path)).collect()] == [5]
+    with pytest.raises(ValueError):
+        window_features(df, "log_user", "log_id", "log_timestamp", ["log_type", "log_action"], date(2020, 1, 1), undated=True)
+
+
 def test_clean_label(spark):
     got = spark.createDataFrame([(" \tMove-Prot \n",)], "x string").select(clean_label(F.col("x"))).first()[0]
     assert got == "move_prot"
