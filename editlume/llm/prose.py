@@ -5,7 +5,7 @@ widespread (function) words of sentences, else its class (number, letters mixed
 capitalised, other; and whether the same word came within the last few words), each joined with the
 kind of gap before it (blank, clause mark, sentence end, line break, markup, glued dot).
 
-A bigram model of prose is trained on a bounded sample of the corpus, first on sentence-like
+A bigram model of prose is trained on the whole corpus, first on sentence-like
 stretches only, then on all stretches the model itself takes for prose, so that signatures,
 headings and markup belonging to prose are learnt; what it rejects trains the model of the rest. A
 word is out of prose where the prose model's surprisal, averaged over a window around the word, is
@@ -16,20 +16,21 @@ repeated phrases. A page is flagged if more than half of its words are out of pr
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editlume.llm.textnum import Batch, U, Words, mix, pieces, words
-from editlume.session import ship_package
+from editlume.session import drop_materialized, materialize, ship_package, transient_shuffles
 
 FUNCTION_WORDS = 400
-TRAIN_DOCS = 4000
+PIECE_WORDS = 300_000
 WINDOW = 8
 ECHO = 8
 ROUNDS = 3
@@ -37,6 +38,7 @@ MARGIN = 0.5  # bits a word by which prose must be the better model
 BLANK, CLAUSE, SENTENCE, BREAK, MARKUP, GLUED = range(6)
 GAPS = 6
 NUMBER, MIXED, CAPITAL, OTHER = range(4)
+_OPENS = np.isin(np.arange(GAPS), (SENTENCE, BREAK, MARKUP, GLUED))
 CLASSES = 8  # each also for words seen within the last ECHO words
 
 
@@ -72,10 +74,14 @@ def lower_batch(texts: list[str]) -> tuple[Batch, np.ndarray]:
     return Batch(_char_tables()[0][raw], start), raw
 
 
-def features(texts: list[str]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+Part = tuple[Words, np.ndarray, np.ndarray, np.ndarray]
+
+
+def features(texts: list[str]) -> Part:
     """(words, class, gap before, followed by a sentence mark) of every word of the batch."""
     b, raw = lower_batch(texts)
     w = words(b)
+    w.hash = w.hash >> U(32)  # as much as `encode` keeps
     if not len(w.begin):
         return w, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     _, word_bits, gap_bits = _char_tables()
@@ -112,13 +118,36 @@ def features(texts: list[str]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarra
     return w, kind, gap, after & 4 > 0
 
 
+def encode(texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+    """The features of each text as bytes: word hashes (32 bits), and class, gap and sentence mark (one byte a word)."""
+    w, kind, gap, closes = features(texts)
+    code = (kind | gap << 3 | closes.astype(np.int64) << 6).astype(np.uint8)
+    h = w.hash.astype(np.uint32)
+    ends = list(zip(w.first[:-1], w.first[1:]))
+    return [h[i:k].tobytes() for i, k in ends], [code[i:k].tobytes() for i, k in ends]
+
+
+def decode(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Part]]:
+    """Slices of the rows (id, hashes, codes) of about PIECE_WORDS words, and what `features` gave of their texts."""
+    total = np.concatenate(([0], np.cumsum(pc.binary_length(batch.column(2)).to_numpy().astype(np.int64))))
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(total, total[at] + PIECE_WORDS, side="right")) - 1)
+        piece = batch.slice(at, upto - at)
+        h = np.frombuffer(b"".join(piece.column(1).to_pylist()), dtype=np.uint32).astype(U)
+        code = np.frombuffer(b"".join(piece.column(2).to_pylist()), dtype=np.uint8).astype(np.int64)
+        first = total[at : upto + 1] - total[at]
+        none = np.zeros(0, np.int64)
+        yield piece, (Words(none, none, np.repeat(np.arange(upto - at), np.diff(first)), first, h), code & 7, code >> 3 & 7, code >> 6 > 0)
+        at = upto
+
+
 def sentence_mask(gap: np.ndarray, closes: np.ndarray, least: int = 5, most: int = 60) -> np.ndarray:
     """Words of stretches that end as sentences do and have no markup, line break or glued dot within."""
     n = len(gap)
     if not n:
         return np.zeros(0, bool)
-    opens = np.isin(gap, (SENTENCE, BREAK, MARKUP, GLUED))
-    at = np.flatnonzero(opens)
+    at = np.flatnonzero(_OPENS[gap])
     size = np.diff(np.append(at, n))
     good = (size >= least) & (size <= most) & closes[np.append(at[1:], n) - 1] & (np.append(gap[at[1:]], SENTENCE) != GLUED)
     return np.repeat(good, size)
@@ -133,6 +162,17 @@ def window_means(w: Words, values: np.ndarray) -> np.ndarray:
     return (total[hi] - total[lo]) / (hi - lo)
 
 
+def among(h: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Which of the 32-bit hashes are `chosen` (sorted): only those that agree in 16 bits with one are looked up."""
+    some = np.zeros(1 << 16, dtype=bool)
+    some[(chosen & U(0xFFFF)).astype(np.int64)] = True
+    known = some[(h & U(0xFFFF)).astype(np.int64)]
+    at = np.flatnonzero(known)
+    if len(at):
+        known[at] = chosen[np.minimum(np.searchsorted(chosen, h[at]), len(chosen) - 1)] == h[at]
+    return known
+
+
 @dataclass
 class ProseModel:
     function_words: np.ndarray  # sorted hashes
@@ -142,9 +182,10 @@ class ProseModel:
     def symbols(self, w: Words, kind: np.ndarray, gap: np.ndarray) -> np.ndarray:
         if not len(self.function_words):
             return kind * GAPS + gap
-        at = np.minimum(np.searchsorted(self.function_words, w.hash), len(self.function_words) - 1)
-        known = self.function_words[at] == w.hash
-        return np.where(known, at + CLASSES, kind) * GAPS + gap
+        known = np.flatnonzero(among(w.hash, self.function_words))
+        kind = kind.copy()
+        kind[known] = np.searchsorted(self.function_words, w.hash[known]) + CLASSES
+        return kind * GAPS + gap
 
     def context(self, w: Words, s: np.ndarray) -> np.ndarray:
         """The symbol before each word; before a text's first word, an ordinary one."""
@@ -161,7 +202,10 @@ class ProseModel:
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: words, share of them out of prose, perplexity under the prose model."""
-        w, kind, gap, _ = features(texts)
+        return self.score_part(features(texts))
+
+    def score_part(self, part: Part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        w, kind, gap, _ = part
         n = np.diff(w.first)
         if not len(kind):
             return n, np.zeros(len(n)), np.ones(len(n))
@@ -176,73 +220,122 @@ def _bits(pair: np.ndarray, back: float = 8.0) -> np.ndarray:
     return (-np.log2((pair + back * uni[None, :]) / (pair.sum(axis=1, keepdims=True) + back))).astype(np.float32)
 
 
-def widespread_words(parts: list[tuple], masks: list[np.ndarray], most: int, step: int = 25, share: float = 0.3) -> np.ndarray:
-    """Sorted hashes of words that are in most sentences, so that each language has its own.
+Counts = tuple[np.ndarray, np.ndarray]  # keys, and how often each occurs
+POOR, INSIDE, FUNCTION = -1, -2, -3  # keys of other numbers than words
+
 
-    `step` words are chosen at a time, by the number of sentences with them among the sentences in
-    which the words chosen so far make up less than `share`: a language of which few sentences are
-    seen gets its words once those of the others are found.
+def sentence_words(part: Part, chosen: np.ndarray, share: float) -> Counts:
+    """By word, the sentences with it among those of which the `chosen` words make up less than `share`.
+
+    Also: POOR, the number of these sentences; INSIDE and FUNCTION, the words of all sentences and the chosen ones of them.
     """
-    hashes, sentence, n = [], [], 0
-    for (w, _, gap, _), m in zip(parts, masks):
-        opens = np.isin(gap, (SENTENCE, BREAK, MARKUP, GLUED)) & m
-        hashes.append(w.hash[m])
-        sentence.append(np.cumsum(opens)[m] + n)
-        n += int(opens.sum()) + 1
-    if not hashes or not sum(map(len, hashes)):
-        return np.zeros(0, U)
-    values, word = np.unique(np.concatenate(hashes), return_inverse=True)
-    sentence = np.unique(np.concatenate(sentence), return_inverse=True)[1]
+    w, _, gap, closes = part
+    m = np.flatnonzero(sentence_mask(gap, closes))
+    h = w.hash[m]
+    sentence = np.cumsum(_OPENS[gap[m]]) - 1
     size = np.bincount(sentence)
-    once = np.unique(sentence * len(values) + word)
-    in_sentence, of_word = once // len(values), once % len(values)
-    chosen = np.zeros(len(values), dtype=bool)
-    while chosen.sum() < most:
-        poor = np.bincount(sentence, weights=chosen[word]) < share * size
-        count = np.bincount(of_word[poor[in_sentence]], minlength=len(values)) * ~chosen
-        best = np.argsort(-count, kind="stable")[: min(step, most - int(chosen.sum()))]
-        best = best[count[best] > max(3, 0.005 * poor.sum())]
+    known = among(h, chosen)
+    poor = np.bincount(sentence, weights=known, minlength=len(size)) < share * size
+    wanted = poor[sentence] & ~known
+    once = np.unique(sentence[wanted].astype(U) << U(32) | h[wanted])
+    found, n = np.unique(once & U(0xFFFFFFFF), return_counts=True)
+    return np.concatenate((found.astype(np.int64), [POOR, INSIDE, FUNCTION])), np.concatenate((n, [poor.sum(), len(m), known.sum()]))
+
+
+def symbol_pairs(part: Part, model: ProseModel, bound: float | None) -> Counts:
+    """Pairs of symbols in a row, those out of prose after all others: by the model, or by the density of function words if `bound` is given."""
+    w, kind, gap, _ = part
+    if not len(kind):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    s = model.symbols(w, kind, gap)
+    size = (CLASSES + len(model.function_words)) * GAPS
+    out = model.out_of_prose(w, s) if bound is None else window_means(w, s >= CLASSES * GAPS) < bound
+    return np.unique((out * size + model.context(w, s)) * size + s, return_counts=True)
+
+
+def fit(total: Callable[..., Counts], most: int, rounds: int, step: int = 25, share: float = 0.3) -> ProseModel:
+    """The models of prose and of the rest; total(f, *args) adds up f(part, *args) over all parts of the corpus.
+
+    Function words are those in most sentences, so that each language has its own: `step` are chosen at a
+    time, by the number of sentences with them among the sentences in which the words chosen so far make
+    up less than `share`: a language of which few sentences are seen gets its words once those of the
+    others are found. The first split is by the density of function words, half of that in sentences
+    being the bound; each round trains both models on the split and splits anew. A corpus with no
+    sentence at all gives a model that flags nothing.
+    """
+    chosen = np.zeros(0, U)
+    while True:
+        keys, n = total(sentence_words, chosen, share)
+        is_word = keys >= 0
+        other = dict(zip(keys[~is_word].tolist(), n[~is_word].tolist()))
+        frequent = is_word & (n > max(3, 0.005 * other.get(POOR, 0)))
+        keys, n = keys[frequent], n[frequent]
+        best = keys[np.lexsort((keys, -n))[: min(step, most - len(chosen))]]
         if not len(best):
             break
-        chosen[best] = True
-    return values[chosen]
+        chosen = np.sort(np.concatenate((chosen, best.astype(U))))
+    size = (CLASSES + len(chosen)) * GAPS
+    model = ProseModel(chosen, np.zeros((size, size), np.float32), np.zeros((size, size), np.float32))
+    if not len(chosen):
+        return model
+    bound = other[FUNCTION] / other[INSIDE] / 2
+    for k in range(rounds):
+        codes, n = total(symbol_pairs, model, None if k else bound)
+        pairs = np.zeros(2 * size * size)
+        pairs[codes] = n
+        model = ProseModel(chosen, *(_bits(p.reshape(size, size)) for p in np.split(pairs, 2)))
+    return model
 
 
 def train(texts: list[str], function_words: int = FUNCTION_WORDS, rounds: int = ROUNDS) -> ProseModel:
-    """The models of prose and of the rest from unlabelled `texts`.
+    """`fit` on unlabelled texts at hand."""
+    parts = [features(texts[k : k + 500]) for k in range(0, len(texts), 500)]
+
+    def total(f: Callable[..., Counts], *args: object) -> Counts:
+        found = [f(p, *args) for p in parts] or [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+        return keys, np.bincount(at, weights=np.concatenate([n for _, n in found]), minlength=len(keys)).astype(np.int64)
 
-    The first split is by the density of function words, half of that in sentences being the bound;
-    each round trains both models on the split and splits anew. Texts with no sentence at all give a
-    model that flags nothing.
+    return fit(total, function_words, rounds)
+
+
+def train_on(coded: DataFrame, function_words: int = FUNCTION_WORDS, rounds: int = ROUNDS) -> ProseModel:
+    """`fit` on all rows (id, hashes, codes), counted in the executors, one pass a choice of words or round.
+
+    Only counts come to the driver: of words in more than three sentences and in more than 0.5 % of them,
+    and of pairs of symbols, whose number is bounded.
     """
-    parts = [features(texts[k : k + 500]) for k in range(0, len(texts), 500)]
-    masks = [sentence_mask(gap, closes) for _, _, gap, closes in parts]
-    top = widespread_words(parts, masks, function_words)
-    size = (CLASSES + len(top)) * GAPS
-    model = ProseModel(top, np.zeros((size, size), np.float32), np.zeros((size, size), np.float32))
-    if not len(top):
-        return model
-    coded = [model.symbols(w, kind, gap) for w, kind, gap, _ in parts]
-    function = [s >= CLASSES * GAPS for s in coded]
-    inside = np.concatenate([f[m] for f, m in zip(function, masks)])
-    bound = inside.mean() / 2
-    out = [window_means(w, f) < bound for (w, *_), f in zip(parts, function)]
-    for _ in range(rounds):
-        pairs = np.zeros((2, size * size))
-        for (w, *_), s, o in zip(parts, coded, out):
-            code = model.context(w, s) * size + s
-            for k in (0, 1):
-                pairs[k] += np.bincount(code[o == k], minlength=size * size)
-        model.prose, model.rest = (_bits(p.reshape(size, size)) for p in pairs)
-        out = [model.out_of_prose(w, s) for (w, *_), s in zip(parts, coded)]
-    return model
+    spark = coded.sparkSession
+
+    def total(f: Callable[..., Counts], *args: object) -> Counts:
+        sent = spark.sparkContext.broadcast(args)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for _, part in decode(batch):
+                    keys, n = f(part, *sent.value)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
+        sums = coded.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        if f is sentence_words:  # kept, as it is read twice
+            kept = materialize(sums.where("n > 3 or key < 0"), "word-counts")
+            poor = kept.where(F.col("key") == POOR).agg(F.max("n")).first()[0] or 0
+            found = kept.where((F.col("key") < 0) | (F.col("n") > 0.005 * poor)).toArrow()
+            drop_materialized(kept)
+        else:
+            with transient_shuffles(spark):
+                found = sums.toArrow()
+        sent.destroy()
+        return found.column(0).to_numpy(), found.column(1).to_numpy()
 
-def flag_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.5, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    return fit(total, function_words, rounds)
+
+
+def flag_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.5, train_docs: int | None = None) -> DataFrame:
     """(doc_id, n_words, out_share, perplexity, flagged) of every document with a text.
 
-    The models are fitted on (at most) the `train_docs` documents whose ids hash lowest: a bounded
-    sample, the same on every run; all documents are scored, over their whole texts. flagged: out_share >
+    The models are fitted on all documents, or on the `train_docs` whose ids hash lowest, if given: the same
+    on every run; all documents are scored, over their whole texts. flagged: out_share >
     `share`. NULL ids and NULL texts have no row, a text without words is not flagged; rows repeated
     under one id count once (of differing texts the one with the largest share holds). Extra columns
     are ignored; an empty input gives an empty result.
@@ -250,19 +343,28 @@ def flag_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shar
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    # a threshold on the hash leaves few more than are wanted, so only these are ordered
-    order = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    upto = min(1 << 30, int(1.2 * train_docs / max(1, docs.count()) * (1 << 30)) + 1)
-    sample = rows.where(order < upto).orderBy(order, "id").limit(train_docs).select("text").toArrow().column(0).to_pylist()
-    model = spark.sparkContext.broadcast(train(sample))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 1):
-                n, out, perplexity = model.value.score(piece.column(1).to_pylist())
+                hashes, codes = encode(piece.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(hashes, pa.binary()), pa.array(codes, pa.binary())], names=["id", "hashes", "codes"])
+
+    coded = materialize(rows.mapInArrow(code, "id long, hashes binary, codes binary"), "word-codes")
+    part = coded
+    if train_docs is not None:
+        part = materialize(coded.orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id").limit(train_docs), "training")
+    model = spark.sparkContext.broadcast(train_on(part))
+    if part is not coded:
+        drop_materialized(part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, features_ in decode(batch):
+                n, out, perplexity = model.value.score_part(features_)
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n, pa.int64()), pa.array(out), pa.array(perplexity)], names=["id", "n", "out", "perplexity"])
 
-    scored = rows.mapInArrow(run, "id long, n long, out double, perplexity double")
+    scored = coded.mapInArrow(run, "id long, n long, out double, perplexity double")
     one = scored.groupBy("id").agg(F.max(F.struct("out", "n", "perplexity")).alias("_s"))
     return one.select(
         F.col("id").alias(doc_id), F.col("_s.n").alias("n_words"), F.col("_s.out").alias("out_share"), F.col("_s.perplexity").alias("perplexity"),

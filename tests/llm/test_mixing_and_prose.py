@@ -84,6 +84,15 @@ def test_held_out_accuracy(spark):
     assert sum(got[k] == truth[k] for k in truth) >= 0.99 * len(truth)
 
 
+def test_model_of_all_documents(spark):
+    rnd = random.Random(4)
+    texts = [page(rnd, "spam" if k % 12 == 0 else "prose")[: 200 + k % 100] for k in range(4500)]
+    _, out, perplexity = train(texts).score(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.out_share, r.perplexity) for r in flag_pages(docs).collect()}
+    assert all(abs(got[k][0] - out[k]) < 1e-9 and abs(got[k][1] - perplexity[k]) < 1e-9 * perplexity[k] for k in range(len(texts)))
+
+
 def test_prose_edge_cases(spark):
     rnd = random.Random(3)
     rows = [(k, page(rnd, "spam" if k % 12 == 0 else "prose")) for k in range(300)]
