@@ -1,66 +1,68 @@
 """Near-duplicate texts by Golay-code fuzzy hashing.
 
 Fingerprint. A text has `SLOTS` segments. A segment has two parts. The anchor is the word sequence
-with the least value under the slot's own random order: equal in two texts with about their
-similarity as probability. The field is a 23-bit word with a bit for each of the six words around
-the anchor: an edit of one of them changes two bits at most. Decoding the field to the nearby code
-words of the Golay code gives one or six indices; two fields up to two bits apart have one in
-common. So a segment is free of error if the anchor agrees and the field differs by no more than
-one edited word, and by the pigeonhole two texts meet if one of their segments is.
-
-Texts that share (slot, anchor, index) and whose fields are in fact within two bits are candidates.
-Those whose set parities prove them too far apart are dropped, which loses none; each other pair is
-verified on its whole sets of word sequences. The README has the measured
-share of pairs missed.
-
-Crowded anchors. A stock phrase may be the anchor of any number of texts. Those of more than `CROWD`
-texts are not compared pair by pair; all texts that have such an anchor meet by prefixes instead,
-which loses none of their pairs: sets that share `threshold` of their union have a member in common
-among the n - ceil(threshold n) + 1 first members of either, in any one order of all sequences. The
-order is by a sketch of the counts among these texts (a table of fixed size), rarest first, so that
-stock phrases are in a prefix only where they make up most of the text.
-
-Equal texts are folded to one class before anything else.
+with the least value under the slot's own random order, among the text's rarer sequences; it must
+agree exactly. The field is a 23-bit word with a bit for each of the six words around the anchor: an
+edit of one of them changes two bits at most. Decoding the field to the nearby code words of the
+Golay code gives one or six indices; two fields up to two bits apart have one in common. So a segment
+is free of error if the anchor agrees and the field differs by no more than one edited word, and by
+the pigeonhole two texts meet if one of their segments is. Pairs that meet are compared: by sizes,
+by set parities (which drop none that can reach the threshold), then on the whole sets.
+
+Rarer sequences. Sequences are ordered by how often the corpus has them (`count_sketch`), and a
+text's anchors come from the `RARE` first of its own. Two sets that share the part t of their union
+share at least RARE + t - 1 of the larger set's members within these, whatever the order, so the
+anchors of two similar texts agree often, while stock phrases are anchors only of texts made of
+little else. Sequences found once in the corpus are no text's anchor.
+
+Crowded keys. A key (slot, anchor, index) of more than `CROWD` texts is not compared pair by pair;
+all texts with such a key meet by prefixes of their sets instead, which loses none of their pairs:
+sets that share `threshold` of their union have a member in common among the
+n - ceil(threshold n) + 1 first members of either, in that same order.
+
+Equal texts are folded to one class before anything else. The README has the measured share of
+pairs missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editlume.llm import golay
 from editlume.llm.textnum import U, mix, pieces, shingles, to_batch, words
 from editlume.session import drop_materialized, materialize, ship_package, transient_shuffles
 
-SLOTS = 20
+SLOTS = 16
 CONTEXT = 3
-SKETCH_BITS = 22
-FILTER_BITS = 22
-CROWD = 32
+RARE = 0.7
+CROWD = 128
+#: Counters of the sketch, as a power of two: from the size of the input within these. Fewer make the order of
+#: sequences coarser, and so crowd more keys; results stay.
+SKETCH_BITS = (22, 26)
+#: Up to so many ids are looked up in a bit map of 8 to 16 bits an id (16 MB at most); more are joined.
+FILTER_IDS = 1 << 23
 PARITY_LONGS = 8
 PARITY = [f"p{k}" for k in range(PARITY_LONGS)]
 _BLOCK_BITS = 14
+_LEVEL, _HASH = 6, 48  # bits of a sequence's place in the order: level of its count, then hash
 
 
 def _merged_table(rows: DataFrame, bits: int, values: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
-    """Counts of the hashes that `values` makes of all rows, in a table of 2**bits entries (16 MB at 22 bits, whatever the input).
+    """Counts of the hashes that `values` makes of all rows, as levels 0 to 63 (`_levels`), in a table of 2**bits bytes.
 
     Every task adds up its own table and sends it on in blocks; blocks are added up by partition,
     one at a time, and only the finished table comes to the driver.
     """
     block_bits = min(_BLOCK_BITS, bits)
-
     width = 1 << block_bits
 
-    def send(counts: np.ndarray, block: int) -> pa.RecordBatch:
-        raw = np.minimum(counts, 2**31 - 1).astype(np.int32).tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([raw], pa.binary())], names=["block", "counts"])
-
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, dtype=np.int32)
         for batch in batches:
@@ -70,7 +72,7 @@ def _merged_table(rows: DataFrame, bits: int, values: Callable[[pa.RecordBatch],
         for block in range(len(counts) // width):
             part = counts[block * width : (block + 1) * width]
             if part.any():
-                yield send(part, block)
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["block", "counts"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -79,165 +81,206 @@ def _merged_table(rows: DataFrame, bits: int, values: Callable[[pa.RecordBatch],
                 part = np.frombuffer(raw.as_buffer(), dtype=np.int32)
                 sums[block] = sums[block] + part if block in sums else part.astype(np.int64)
         for block, counts in sums.items():
-            yield send(counts, block)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([_levels(counts).tobytes()], pa.binary())], names=["block", "counts"])
 
     schema = "block int, counts binary"
     with transient_shuffles(rows.sparkSession):
         merged = rows.mapInArrow(local, schema).repartition("block").mapInArrow(merge, schema).collect()
-    out = np.zeros((1 << (bits - block_bits), 1 << block_bits), dtype=np.int32)
+    out = np.zeros((1 << (bits - block_bits), width), dtype=np.uint8)
     for row in merged:
-        out[row["block"]] = np.frombuffer(bytes(row["counts"]), dtype=np.int32)
+        out[row["block"]] = np.frombuffer(bytes(row["counts"]), dtype=np.uint8)
     return out.reshape(-1)
 
 
-def count_sketch(texts: DataFrame, shingle: int, wanted: Broadcast, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counts of all word sequences of the rows (text, id) of `texts` whose id passes the `wanted` filter, by 54-bit hash."""
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """0 for no more than one, then two levels for each doubling."""
+    return np.minimum(np.floor(2 * np.log2(np.maximum(counts, 1))), (1 << _LEVEL) - 1).astype(np.uint8)
+
+
+def count_sketch(texts: DataFrame, shingle: int, bits: int) -> np.ndarray:
+    """Levels of the counts of all word sequences of `texts` (text, ...), by hash; a count may be too high, never too low."""
 
     def values(piece: pa.RecordBatch) -> np.ndarray:
-        piece = piece.filter(_passing(piece.column(1), wanted.value))
-        return shingles(words(to_batch(piece.column(0).to_pylist())), shingle)[0] >> U(10)
+        return shingles(words(to_batch(piece.column(0).to_pylist())), shingle)[0] >> U(16)
 
     return _merged_table(texts, bits, values)
 
 
-def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A table of fixed size that is true for every id of the one column of `ids`, and for few others."""
-    return _merged_table(ids, bits, lambda batch: mix(batch.column(0).to_numpy().view(U))) > 0
+def id_filter(ids: DataFrame, n: int) -> np.ndarray:
+    """A bit map that holds every id of the one column of `ids` (n rows) and one in eight or less of all others."""
+    bits = max(12, int(max(n, 1) - 1).bit_length() + 3)
+    # counted as often as twice, so that the level is above zero
+    found = _merged_table(ids, bits, lambda batch: np.repeat(mix(batch.column(0).to_numpy().view(U)), 2))
+    return np.packbits(found > 0, bitorder="little")
+
+
+def _passing(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = mix(ids.view(U)) & U(8 * len(bits) - 1)
+    return bits[(at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8) & 1 > 0
+
 
+def _passing_rows(batch: pa.RecordBatch, wanted: Broadcast | None) -> pa.RecordBatch:
+    return batch if wanted is None else batch.filter(pa.array(_passing(batch.column(0).to_numpy(), wanted.value)))
 
-def _passing(ids: pa.Array, table: np.ndarray) -> pa.Array:
-    return pa.array(table[(mix(ids.to_numpy().view(U)) & U(len(table) - 1)).astype(np.int64)])
 
+def only(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, Broadcast | None]:
+    """The rows (id, ...) of `ids` (a table with the one column id): a bit map to look these up in, or, of many ids, the joined rows.
+
+    The bit map spares the shuffle of texts; an id it lets through wrongly finds no pair later.
+    """
+    n = ids.count()
+    if n > FILTER_IDS:
+        return rows.join(ids.distinct(), "id", "left_semi").select(*rows.columns), None
+    return rows, rows.sparkSession.sparkContext.broadcast(id_filter(ids, n))
 
-def _distinct(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashes of each text, as their upper 54 bits, ordered by text and hash.
 
-    Text number (below 1024: a slice has at most 1000 rows) and hash share one word, as sorting one array is much faster.
+def _ordered(h: np.ndarray, doc: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in the order of each sequence; the distinct places of all texts, ascending text by text; the text of each of these).
+
+    Text number (below 1024: a slice has at most 1000 rows) and place share one word, as sorting one array is much faster.
     """
-    packed = np.sort((doc.astype(U) << U(54)) | (h >> U(10)))
+    level = sketch[(h >> U(16) & U(len(sketch) - 1)).astype(np.int64)].astype(U)
+    place = level << U(_HASH) | h >> U(16)
+    packed = np.sort(doc.astype(U) << U(54) | place)
     new = np.ones(len(packed), dtype=bool)
     new[1:] = packed[1:] != packed[:-1]
     packed = packed[new]
-    return packed & U((1 << 54) - 1), (packed >> U(54)).astype(np.int64)
+    return place, packed & U((1 << 54) - 1), (packed >> U(54)).astype(np.int64)
 
 
-def _parities(h: np.ndarray, doc: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per text the number of distinct hashes, and PARITY_LONGS * 64 bits: whether an odd number of them falls to each."""
-    h, doc = _distinct(h, doc)
-    bits = PARITY_LONGS * 64
-    odd = np.bincount(doc * bits + (h >> U(30)).astype(np.int64) % bits, minlength=n_texts * bits).astype(np.uint8) & 1
-    return np.bincount(doc, minlength=n_texts), np.packbits(odd.reshape(n_texts, bits), axis=1).view(np.int64)
-
-
-def _segments(texts: list[str], anchor: int, min_words: int) -> tuple[np.ndarray, ...]:
-    """(row, class hash 1, class hash 2, anchors, fields, set size, parities) of the texts with enough words."""
-    b = to_batch(texts)
-    w = words(b)
-    h, doc, pos = shingles(w, anchor)
+def _segments(texts: list[str], shingle: int, min_words: int, sketch: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, class hash 1, class hash 2, anchors, fields, set size, parities) of the texts with enough words; anchor 0: none."""
+    w = words(to_batch(texts))
+    h, doc, pos = shingles(w, shingle)
     n_words = np.diff(w.first)
-    rows = np.flatnonzero(n_words >= max(min_words, anchor))
-    keep = n_words[doc] >= max(min_words, anchor)
+    enough = n_words >= max(min_words, shingle)
+    rows = np.flatnonzero(enough)
+    keep = enough[doc]
     h, doc, pos = h[keep], doc[keep], pos[keep]
     if not len(rows):
         e = np.zeros(0, dtype=np.int64)
         return rows, e, e, e.reshape(0, SLOTS), e.reshape(0, SLOTS), e, e.reshape(0, PARITY_LONGS)
-    n_distinct, parity = _parities(h, doc, len(texts))
     first = np.searchsorted(doc, rows, side="left")
-    size = np.diff(np.append(first, len(doc)))
-    place = (np.arange(len(h)) - np.repeat(first, size)).astype(U)
-    c1 = np.add.reduceat(mix(h ^ mix(place)), first)
-    c2 = np.add.reduceat(mix(h + mix(place + U(0x5851F42D4C957F2D))), first)
+    nth = (np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(doc))))).astype(U)
+    c1 = np.add.reduceat(mix(h ^ mix(nth)), first)
+    c2 = np.add.reduceat(mix(h + mix(nth + U(0x5851F42D4C957F2D))), first)
+    place, distinct, owner = _ordered(h, doc, sketch)
+    n = np.bincount(owner, minlength=len(texts))
+    bits = PARITY_LONGS * 64
+    odd = np.bincount(owner * bits + (distinct % U(bits)).astype(np.int64), minlength=len(texts) * bits).astype(np.uint8) & 1
+    parity = np.packbits(odd.reshape(len(texts), bits), axis=1).view(np.int64)
+    last = np.cumsum(n) - n + np.ceil(RARE * n - 1e-9).astype(np.int64) - 1  # of the rarer ones
+    rare = np.flatnonzero((place <= distinct[np.maximum(last, 0)][doc]) & (place >= U(1 << _HASH)))
     anchors = np.zeros((len(rows), SLOTS), dtype=U)
     fields = np.zeros((len(rows), SLOTS), dtype=np.int64)
-    lo, hi = w.first[rows], w.first[rows + 1]
-    bit = np.left_shift(np.int64(1), (w.hash % U(golay.N_BITS)).astype(np.int64))
-    offsets = [*range(-CONTEXT, 0), *range(anchor, anchor + CONTEXT)]
-    for s in range(SLOTS):
-        seed = mix(np.array([s + 1], dtype=U))[0]
-        order = mix(h ^ seed)
-        least = np.minimum.reduceat(order, first)
-        hits = np.flatnonzero(order == np.repeat(least, size))
-        at = hits[np.searchsorted(hits, first, side="left")]
-        anchors[:, s] = mix(h[at] + seed)
-        field = np.zeros(len(rows), dtype=np.int64)
-        for o in offsets:
-            p = pos[at] + o
-            ok = (p >= lo) & (p < hi)
-            field[ok] |= bit[p[ok]]
-        fields[:, s] = field
-    return rows, c1.view(np.int64), c2.view(np.int64), anchors.view(np.int64), fields, n_distinct[rows], parity[rows]
-
-
-def fingerprints(rows: DataFrame, anchor: int, min_words: int) -> DataFrame:
-    """(id, c1, c2, anchors, fields, n, p0, p1, ...) of each row (id, text) whose text has enough words."""
+    if len(rare):
+        h, doc, pos = h[rare], doc[rare], pos[rare]
+        some = np.unique(doc)
+        at_row = np.searchsorted(rows, some)
+        first = np.searchsorted(doc, some, side="left")
+        size = np.diff(np.append(first, len(doc)))
+        lo, hi = w.first[some], w.first[some + 1]
+        bit = np.left_shift(np.int64(1), (w.hash % U(golay.N_BITS)).astype(np.int64))
+        for s in range(SLOTS):
+            seed = mix(np.array([s + 1], dtype=U))[0]
+            order = mix(h ^ seed)
+            hits = np.flatnonzero(order == np.repeat(np.minimum.reduceat(order, first), size))
+            at = hits[np.searchsorted(hits, first, side="left")]
+            anchors[at_row, s] = mix(h[at] + seed) | U(1)
+            field = np.zeros(len(some), dtype=np.int64)
+            for o in (*range(-CONTEXT, 0), *range(shingle, shingle + CONTEXT)):
+                p = pos[at] + o
+                ok = (p >= lo) & (p < hi)
+                field[ok] |= bit[p[ok]]
+            fields[at_row, s] = field
+    return rows, c1.view(np.int64), c2.view(np.int64), anchors.view(np.int64), fields, n[rows], parity[rows]
+
+
+def fingerprints(rows: DataFrame, shingle: int, min_words: int, sketch: Broadcast) -> DataFrame:
+    """(id, c1, c2, segments, n, p0, p1, ...) of each row (id, text) whose text has enough words; segments: anchors (8 bytes each), then fields (4)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 1):
-                at, c1, c2, anchors, fields, n, parity = _segments(piece.column(1).to_pylist(), anchor, min_words)
-                offsets = pa.array(np.arange(len(at) + 1) * SLOTS, pa.int32())
+                at, c1, c2, anchors, fields, n, parity = _segments(piece.column(1).to_pylist(), shingle, min_words, sketch.value)
+                raw = np.concatenate((anchors.astype(np.int64).view(np.uint8).reshape(len(at), 8 * SLOTS), fields.astype(np.int32).view(np.uint8).reshape(len(at), 4 * SLOTS)), axis=1)
+                segments = [x.tobytes() if a else None for x, a in zip(raw, anchors.any(axis=1))]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column(0).take(pa.array(at)),
-                        pa.array(c1),
-                        pa.array(c2),
-                        pa.ListArray.from_arrays(offsets, pa.array(anchors.reshape(-1))),
-                        pa.ListArray.from_arrays(offsets, pa.array(fields.reshape(-1).astype(np.int32))),
-                        pa.array(n),
+                        piece.column(0).take(pa.array(at)), pa.array(c1), pa.array(c2), pa.array(segments, pa.binary()), pa.array(n.astype(np.int32)),
                         *[pa.array(np.ascontiguousarray(parity[:, k])) for k in range(PARITY_LONGS)],
                     ],
-                    names=["id", "c1", "c2", "anchors", "fields", "n", *PARITY],
-                )
+                    names=["id", "c1", "c2", "segments", "n", *PARITY],
+                )
 
-    return rows.mapInArrow(run, "id long, c1 long, c2 long, anchors array<long>, fields array<int>, n long, " + ", ".join(f"{p} long" for p in PARITY))
+    return rows.mapInArrow(run, "id long, c1 long, c2 long, segments binary, n int, " + ", ".join(f"{p} long" for p in PARITY))
 
 
-def anchor_filter(segments: DataFrame, wanted: Broadcast) -> np.ndarray:
-    """As `id_filter`, for the anchors of the segments whose rep passes the `wanted` filter."""
+def segments_of(folded: DataFrame) -> DataFrame:
+    """(anchor, field, rep, n): one row per segment of the classes (rep, n, segments)."""
 
-    def values(batch: pa.RecordBatch) -> np.ndarray:
-        return mix(batch.column(0).filter(_passing(batch.column(1), wanted.value)).to_numpy().view(U))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, 12 * SLOTS)
+            anchors = np.ascontiguousarray(raw[:, : 8 * SLOTS]).view(np.int64).reshape(-1)
+            fields = np.ascontiguousarray(raw[:, 8 * SLOTS :]).view(np.int32).reshape(-1)
+            own = pa.array(np.repeat(np.arange(batch.num_rows), SLOTS))
+            yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(fields), batch.column(0).take(own), batch.column(1).take(own)], names=["anchor", "field", "rep", "n"])
 
-    return _merged_table(segments.select("anchor", "rep"), FILTER_BITS, values) > 0
+    return folded.where("segments is not null").select("rep", "n", "segments").mapInArrow(run, "anchor long, field int, rep long, n int")
 
 
-def fuzzy_keys(segments: DataFrame, wanted: Broadcast) -> DataFrame:
-    """(key, rep, field): one row per code word index of each segment (anchor, field, rep) whose anchor passes the `wanted` filter."""
+def fuzzy_keys(met: DataFrame, crowded: Broadcast | None, within: bool = False) -> DataFrame:
+    """(key, ...): one row per code word index of each segment (anchor, field, ...) whose key is not `crowded`, or, `within`, is."""
+    cols = ["anchor", "field", *[c for c in met.columns if c not in ("anchor", "field")]]
+    own = [met.schema[c] for c in cols[1:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(_passing(batch.column(0), wanted.value))
-            anchor, field, rep = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            index = golay.indices(field)
+            index = golay.indices(batch.column(1).to_numpy())
             row, col = np.nonzero(index >= 0)
-            key = mix(anchor.view(U)[row] ^ mix(index[row, col].astype(U) + U(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(rep[row]), pa.array(field[row])], names=["key", "rep", "field"])
+            key = mix(batch.column(0).to_numpy().view(U)[row] ^ mix(index[row, col].astype(U) + U(1))).view(np.int64)
+            if crowded is not None:
+                some = _passing(key, crowded.value) == within
+                row, key = row[some], key[some]
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(key), *[c.take(at) for c in batch.columns[1:]]], names=["key", *[f.name for f in own]])
 
-    return segments.select("anchor", "field", "rep").mapInArrow(run, "key long, rep long, field int")
+    return met.select(*cols).mapInArrow(run, "key long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own))
 
 
-def shingle_sets(rows: DataFrame, shingle: int, wanted: Broadcast) -> DataFrame:
-    """(rep, grams): the sorted distinct word sequences of each row (id, text) whose id passes the `wanted` filter.
+def _similar_size(na: Column, nb: Column, threshold: float) -> Column:
+    return F.least(na, nb) >= threshold * F.greatest(na, nb) - 1e-9
 
-    The filter spares the shuffle of all texts for the few that are in a candidate pair; an id it
-    lets through wrongly finds no pair later.
-    """
+
+def meeting(keys: DataFrame, threshold: float, label: bool = False) -> DataFrame:
+    """Pairs (a, b), a < b, of classes with a key in common, fields within two bits, and sizes that allow the threshold; of different labels, if `label`."""
+    cols = ["rep", "field", "n", *["label"] * label]
+    left, right = (keys.select("key", *[F.col(c).alias(c + x) for c in cols]) for x in "ab")
+    near = F.bit_count(F.col("fielda").bitwiseXOR(F.col("fieldb"))) <= golay.TOLERANCE
+    met = left.join(right, "key").where((F.col("repa") < F.col("repb")) & near & _similar_size(F.col("na"), F.col("nb"), threshold))
+    if label:
+        met = met.where("labela <> labelb")
+    return met.select(F.col("repa").alias("a"), F.col("repb").alias("b")).distinct()
+
+
+def shingle_sets(rows: DataFrame, shingle: int, wanted: Broadcast | None) -> DataFrame:
+    """(id, grams): the sorted distinct word sequences of each row (id, text) whose id is `wanted`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(1, dtype=np.uint8)
         for batch in batches:
-            for piece in pieces(batch.filter(_passing(batch.column(0), wanted.value)), 1):
+            for piece in pieces(_passing_rows(batch, wanted), 1):
                 h, doc, _ = shingles(words(to_batch(piece.column(1).to_pylist())), shingle)
-                h, doc = _distinct(h, doc)
+                _, h, doc = _ordered(h, doc, none)
                 offsets = np.searchsorted(doc, np.arange(piece.num_rows + 1), side="left").astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))], names=["rep", "grams"]
-                )
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))], names=["id", "grams"])
 
-    return rows.mapInArrow(run, "rep long, grams array<long>")
+    return rows.mapInArrow(run, "id long, grams array<long>")
 
 
-def prefixes(rows: DataFrame, shingle: int, threshold: float, wanted: Broadcast, sketch: Broadcast) -> DataFrame:
-    """(rep, n, tokens, places) of each row (id, text) whose id passes the `wanted` filter.
+def prefixes(rows: DataFrame, shingle: int, threshold: float, wanted: Broadcast | None, sketch: Broadcast) -> DataFrame:
+    """(rep, n, tokens, places) of each row (id, text) whose id is `wanted`.
 
     n is the size of its set, tokens 32 bits of the members of its prefix, rarest first, and places their
     places in the order of the whole set. Members the sketch has counted once are no other text's and left out.
@@ -245,43 +288,83 @@ def prefixes(rows: DataFrame, shingle: int, threshold: float, wanted: Broadcast,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch.filter(_passing(batch.column(0), wanted.value)), 1):
+            for piece in pieces(_passing_rows(batch, wanted), 1):
                 h, doc, _ = shingles(words(to_batch(piece.column(1).to_pylist())), shingle)
-                h, doc = _distinct(h, doc)
-                count = sketch.value[(h & U(len(sketch.value) - 1)).astype(np.int64)]
-                by = np.lexsort((h, count, doc))
-                h, count = h[by], count[by]
+                _, h, doc = _ordered(h, doc, sketch.value)
                 n = np.bincount(doc, minlength=piece.num_rows)
                 place = np.arange(len(h)) - (np.cumsum(n) - n)[doc]
-                keep = (place <= (n - np.ceil(threshold * n - 1e-9))[doc]) & (count > 1)
+                keep = (place <= (n - np.ceil(threshold * n - 1e-9))[doc]) & (h >= U(1 << _HASH))
                 offsets = pa.array(np.searchsorted(doc[keep], np.arange(piece.num_rows + 1), side="left").astype(np.int32))
                 tokens, places = pa.array(h[keep].astype(np.uint32).view(np.int32)), pa.array(place[keep].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(n.astype(np.int32)), pa.ListArray.from_arrays(offsets, tokens), pa.ListArray.from_arrays(offsets, places)],
-                    names=["rep", "n", "tokens", "places"],
+                    names=["id", "n", "tokens", "places"],
                 )
 
-    return rows.mapInArrow(run, "rep long, n int, tokens array<int>, places array<int>")
+    return rows.mapInArrow(run, "id long, n int, tokens array<int>, places array<int>")
 
 
-def crowd_pairs(rows: DataFrame, crowd: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """All pairs (a, b), a < b, of the texts `crowd` (rep) that can reach the threshold by their prefixes.
+def crowd_pairs(crowd: "Prefixes", label: DataFrame | None = None) -> DataFrame:
+    """All pairs (a, b), a < b, of the crowd that can reach the threshold by their prefixes; of different labels (rep, label), if given.
 
     The first member two prefixes have in common bounds what the sets share to what follows it. A
     common token that comes right after a common one makes no row: the one before has made it.
+    With labels, tokens of one label meet nothing, and of the others only texts without the token's
+    most frequent label are compared with all.
     """
-    spark = rows.sparkSession
-    wanted = spark.sparkContext.broadcast(id_filter(crowd))
-    sketch = spark.sparkContext.broadcast(count_sketch(rows.select("text", "id"), shingle, wanted))
-    once = materialize(prefixes(rows, shingle, threshold, wanted, sketch).join(crowd, "rep", "left_semi").dropDuplicates(["rep"]), "prefixes")
     before = F.concat(F.array(F.lit(None).cast("int")), "tokens")
-    entries = once.where("size(tokens) > 0").select("rep", "n", F.inline(F.arrays_zip("tokens", "places", before.alias("before")))).where("tokens is not null")
-    a, b = (entries.select("tokens", *[F.col(c).alias(c + x) for c in ("rep", "n", "places", "before")]) for x in "ab")
+    texts, cols = crowd.texts, ["rep", "n", "places", "before"]
+    if label is not None:
+        texts, cols = texts.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep")), [*cols, "label"]
+    entries = texts.where("size(tokens) > 0").select("rep", "n", *cols[4:], F.inline(F.arrays_zip("tokens", "places", before.alias("before")))).where("tokens is not null")
+    one = entries
+    if label is not None:
+        most = entries.groupBy("tokens", "label").agg(F.count("*").alias("_n")).groupBy("tokens").agg(F.max_by("label", F.struct("_n", "label")).alias("_most"), F.count("*").alias("_labels"))
+        one = entries.join(most.where("_labels > 1"), "tokens").where("label <> _most")
+    a = one.select("tokens", *[F.col(c).alias(c + "a") for c in cols])
+    b = entries.select("tokens", *[F.col(c).alias(c + "b") for c in cols])
     rest = F.least(F.col("na") - F.col("placesa"), F.col("nb") - F.col("placesb"))
-    enough = rest >= (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9
+    enough = rest >= (F.col("na") + F.col("nb")) * (crowd.threshold / (1 + crowd.threshold)) - 1e-9
     first = F.coalesce(F.col("beforea") != F.col("beforeb"), F.lit(True))
-    met = a.join(b, "tokens").where((F.col("repa") < F.col("repb")) & enough & first)
-    return met.select(F.col("repa").alias("a"), F.col("repb").alias("b"))
+    met = a.join(b, "tokens").where((F.col("repa") < F.col("repb") if label is None else F.col("labela") != F.col("labelb")) & enough & first)
+    return met.select(F.least("repa", "repb").alias("a"), F.greatest("repa", "repb").alias("b"))
+
+
+@dataclass
+class Prefixes:
+    """The prefixes (rep, n, tokens, places) of the classes with a crowded key."""
+
+    texts: DataFrame
+    threshold: float
+
+
+@dataclass
+class Meeting:
+    """Where classes can meet: what pairs and groups are made of."""
+
+    rows: DataFrame  # (id, text): id stands for one text only
+    members: DataFrame  # (id, rep, n_copies)
+    sizes: DataFrame  # (rep, n, parities)
+    met: DataFrame  # (anchor, field, rep, n): segments whose anchor another class has
+    crowded: Broadcast | None  # keys of more than CROWD classes
+    crowd: Prefixes | None  # the classes with one
+    shingle: int
+    threshold: float
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, similarity) of the pairs that reach the threshold, by their whole sets."""
+        likely = materialize(possible_pairs(pairs, self.sizes, self.threshold), "candidates")
+        wanted = materialize(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct(), "candidate-ids")
+        sets = shingle_sets(*_args(self.rows, wanted, self.shingle)).groupBy("id").agg(F.max("grams").alias("grams"))
+        both = likely.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
+        common = F.size(F.array_intersect("ga", "gb"))
+        similar = both.select("a", "b", (common / (F.size("ga") + F.size("gb") - common)).alias("similarity"))
+        return similar.where(F.col("similarity") >= self.threshold)
+
+
+def _args(rows: DataFrame, wanted: DataFrame, shingle: int) -> tuple[DataFrame, int, Broadcast | None]:
+    part, bits = only(rows, wanted)
+    return part, shingle, bits
 
 
 def possible_pairs(pairs: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
@@ -298,6 +381,54 @@ def possible_pairs(pairs: DataFrame, sizes: DataFrame, threshold: float) -> Data
     return pairs.join(a, "a").join(b, "b").where(differ <= bound).select("a", "b")
 
 
+def _one_text_an_id(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame | None, int]:
+    """(rows (id, text); names (id, doc) of the ids that had several texts, each of which now has an id of its own; characters)."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
+    h = F.xxhash64("text")
+    seen = materialize(rows.groupBy("id").agg((F.min(h) != F.max(h)).alias("differ"), F.sum(F.length("text")).alias("chars")), "texts")
+    facts = seen.agg(F.coalesce(F.sum("chars"), F.lit(0)).alias("chars"), F.coalesce(F.bool_or("differ"), F.lit(False)).alias("any")).first()
+    if not facts["any"]:
+        drop_materialized(seen)
+        return rows, None, facts["chars"]
+    own = F.when(F.col("differ"), F.xxhash64("id", "text")).otherwise(F.col("id"))
+    rows = rows.join(seen.where("differ").select("id", "differ"), "id", "left").select(own.alias("id"), "text", F.when(F.col("differ"), F.col("id")).alias("doc"))
+    return rows.select("id", "text"), materialize(rows.where("doc is not null").select("id", "doc").distinct(), "several-texts"), facts["chars"]
+
+
+def meet(docs: DataFrame, doc_id: str, text: str, shingle: int, threshold: float, min_words: int) -> Meeting:
+    spark: SparkSession = docs.sparkSession
+    ship_package(spark)
+    rows, names, chars = _one_text_an_id(docs, doc_id, text)
+    bits = min(max(int(chars // 64).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    sketch = spark.sparkContext.broadcast(count_sketch(rows.select("text"), shingle, bits))
+    prints = materialize(fingerprints(rows, shingle, max(min_words, shingle), sketch), "fingerprints")
+    classes = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("n_copies"))
+    first = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("segments", "n", *PARITY)])
+    folded = materialize(first.select("rep", "segments", "n", *PARITY), "classes")
+    members = prints.select("id", "c1", "c2").join(classes, ["c1", "c2"]).select("id", "rep", "n_copies").distinct()
+    if names is not None:
+        docs_of = members.join(names, "id", "left").select(F.coalesce("doc", "id").alias("id"), "rep").distinct()
+        members = docs_of.join(docs_of.groupBy("rep").agg(F.count("*").alias("n_copies")), "rep").select("id", "rep", "n_copies")
+    members = materialize(members, "members")
+    drop_materialized(prints)
+    segments = segments_of(folded)
+    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1")
+    met = materialize(segments.join(shared, "anchor").select("anchor", "field", "rep", "n", (F.col("_n") > CROWD).alias("many")), "met-segments")
+    sizes = materialize(folded.select("rep", "n", *PARITY), "set-sizes")
+    drop_materialized(folded)
+    keys = fuzzy_keys(met.where("many").select("anchor", "field"), None).select(F.col("key").alias("id"))
+    crowding = materialize(keys.groupBy("id").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select("id"), "crowded-keys")
+    n = crowding.count()
+    crowded = crowd = None
+    if n:
+        crowded = spark.sparkContext.broadcast(id_filter(crowding, n))
+        ids = materialize(fuzzy_keys(met.where("many").select("anchor", "field", "rep"), crowded, True).select(F.col("rep").alias("id")).distinct(), "crowd")
+        part, wanted = only(rows, ids)
+        texts = prefixes(part, shingle, threshold, wanted, sketch).join(ids, "id", "left_semi").dropDuplicates(["id"]).withColumnRenamed("id", "rep")
+        crowd = Prefixes(materialize(texts, "prefixes"), threshold)
+    return Meeting(rows, members, sizes, met.drop("many"), crowded, crowd, shingle, threshold)
+
+
 def near_duplicate_classes(
     docs: DataFrame, doc_id: str, text: str, shingle: int = 5, threshold: float = 0.8, min_words: int = 20
 ) -> tuple[DataFrame, DataFrame]:
@@ -309,50 +440,29 @@ def near_duplicate_classes(
 
     Words are maximal runs of Unicode letters and digits, letter case ignored. NULL ids, NULL texts
     and texts of fewer than `min_words` words are in no class. Rows repeated under one id count
-    once; if their texts differ, the id is in the class of each. Texts of any length are taken
-    whole. Extra columns are ignored; an empty input gives two empty frames.
+    once; if their texts differ, the id is in the class of each, and a hash stands for it where it
+    would be a rep. Texts of any length are taken whole. Extra columns are ignored; an empty input
+    gives two empty frames.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    prints = materialize(fingerprints(rows, shingle, max(min_words, shingle)), "fingerprints")
-    classes = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("anchors", "fields", "n", *PARITY)])
-    folded = materialize(classes, "classes")
-    copies = prints.groupBy("c1", "c2").agg(F.count_distinct("id").alias("n_copies"))
-    ranked = prints.select("id", "c1", "c2").join(folded.select("c1", "c2", "rep"), ["c1", "c2"]).join(copies, ["c1", "c2"])
-    members = materialize(ranked.select("id", "rep", "n_copies").distinct(), "members")
-    drop_materialized(prints)
-    segments = folded.select("rep", F.inline(F.arrays_zip("anchors", "fields")).alias("anchor", "field"))
-    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor", (F.col("_n") > CROWD).alias("crowded"))
-    met = materialize(segments.join(shared, "anchor"), "met-segments")
-    crowd = materialize(met.where("crowded").select("rep").distinct(), "crowd")
-    sizes = materialize(folded.select("rep", "n", *PARITY), "set-sizes")
-    drop_materialized(folded)
-    # pairs of two texts of the crowd are all found by prefixes, so an anchor needs keys only if another text has it
-    others = spark.sparkContext.broadcast(id_filter(sizes.select("rep").join(crowd, "rep", "left_anti")))
-    uncrowded = met.where("not crowded")
-    keys = fuzzy_keys(uncrowded, spark.sparkContext.broadcast(anchor_filter(uncrowded, others)))
-    left, right = keys.select("key", F.col("rep").alias("a"), F.col("field").alias("fa")), keys.select("key", F.col("rep").alias("b"), F.col("field").alias("fb"))
-    near = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= golay.TOLERANCE
-    few = materialize(left.join(right, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct(), "fuzzy-pairs")
-    drop_materialized(met)
-    met_pairs = materialize(few.unionByName(crowd_pairs(rows, crowd, shingle, threshold)).distinct(), "met-pairs")
-    pairs = materialize(possible_pairs(met_pairs, sizes, threshold), "candidates")
-    wanted = spark.sparkContext.broadcast(id_filter(pairs.select(F.col("a").alias("id")).union(pairs.select("b"))))
-    sets = shingle_sets(rows, shingle, wanted).groupBy("rep").agg(F.max("grams").alias("grams"))
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("ga")), "a").join(
-        sets.select(F.col("rep").alias("b"), F.col("grams").alias("gb")), "b"
-    )
-    common = F.size(F.array_intersect("ga", "gb"))
-    links = both.select("a", "b", (common / (F.size("ga") + F.size("gb") - common)).alias("similarity")).where(F.col("similarity") >= threshold)
-    return members, links
+    m = meet(docs, doc_id, text, shingle, threshold, min_words)
+    pairs = meeting(fuzzy_keys(m.met, m.crowded), threshold)
+    if m.crowd is not None:
+        pairs = materialize(pairs, "fuzzy-pairs").unionByName(crowd_pairs(m.crowd)).distinct()
+    return m.members, m.links(materialize(pairs, "met-pairs"))
+
 
+def expand_pairs(members: DataFrame, links: DataFrame, block: int = 256) -> DataFrame:
+    """All pairs of ids (a < b) that are equal or linked: as many as the result has, so only where pairs are wanted.
 
-def expand_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """All pairs of ids (a < b) that are equal or linked: as many as the result has, so only where pairs are wanted."""
+    The ids of a large class are cut into blocks of about `block`, and each pair of blocks is a join key of its own.
+    """
     m = members.select("id", "rep")
-    many = members.where("n_copies > 1").select("id", "rep")
-    inside = many.withColumnRenamed("id", "a").join(many.withColumnRenamed("id", "b"), "rep").where("a < b").select("a", "b")
+    many = members.where("n_copies > 1").select("id", "rep", F.ceil(F.col("n_copies") / block).cast("int").alias("_k"))
+    many = many.withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_k")).cast("int"))
+    # a pair is found under (lower block, upper block); within one block under (block, block)
+    x = many.select(F.col("id").alias("x"), "rep", F.col("_b").alias("_i"), F.explode(F.sequence("_b", F.col("_k") - 1)).alias("_j"))
+    y = many.select(F.col("id").alias("y"), "rep", F.col("_b").alias("_j"), F.explode(F.sequence(F.lit(0), "_b")).alias("_i"))
+    inside = x.join(y, ["rep", "_i", "_j"]).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     across = (
         links.join(m.select(F.col("id").alias("ia"), F.col("rep").alias("a")), "a")
         .join(m.select(F.col("id").alias("ib"), F.col("rep").alias("b")), "b")
@@ -362,12 +472,12 @@ def expand_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     return inside.unionByName(across).distinct()
 
 
-def groups(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Connected groups: id, group_id (least id of the group), n_copies, n_links of its class.
+def components(links: DataFrame) -> DataFrame:
+    """(rep, label) of all classes with a link: the least class of the connected component.
 
     Each round every class takes the least label of its neighbours and then its label's own label
     (pointer jumping), until none changes; one table per round in the shared folder, nothing on the
-    driver but the number of changes.
+    driver but whether there was a change.
     """
     edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = materialize(edges.select(F.col("a").alias("rep"), F.col("a").alias("label")).distinct(), "labels")
@@ -376,12 +486,40 @@ def groups(members: DataFrame, links: DataFrame) -> DataFrame:
         near = labels.join(around, "rep").select("rep", F.least("label", "_near").alias("_new"), F.col("label").alias("_old"))
         hop = labels.select(F.col("rep").alias("_new"), F.col("label").alias("_far"))
         labels2 = materialize(near.join(hop, "_new").select("rep", F.least("_new", "_far").alias("label"), "_old"), "labels")
+        drop_materialized(labels)
         if labels2.where("label <> _old").isEmpty():
-            break
-        labels = labels2.select("rep", "label")
-    degree = edges.groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("n_links"))
+            drop_materialized(edges)
+            return labels2.select("rep", "label")
+        labels = materialize(labels2.select("rep", "label"), "labels")
+        drop_materialized(labels2)
+
+
+def near_duplicate_groups(
+    docs: DataFrame, doc_id: str, text: str, shingle: int = 5, threshold: float = 0.8, min_words: int = 20
+) -> DataFrame:
+    """(id, group_id, n_copies): the connected groups that the links of `near_duplicate_classes` make, without making all links.
+
+    group_id is the least id of the group. First the classes of each key are compared with the key's
+    least class only; then, where classes of different groups still share a key, or prefixes, these are
+    compared across the groups. A group of n texts so takes in the order of n comparisons, and no link
+    that joins two groups is missed. Inputs as there; an id with differing texts has a row for each of its groups.
+    """
+    m = meet(docs, doc_id, text, shingle, threshold, min_words)
+    keys = fuzzy_keys(m.met.select("anchor", "field", "rep"), None).select("key", "rep")
+    centre = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("_b")).where("a <> _b").select("key", "a")
+    star = keys.join(centre, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    near = materialize(m.links(materialize(star, "stars")), "star-links")
+    label = components(near)
+    cross = meeting(fuzzy_keys(m.met.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep")), m.crowded), threshold, True)
+    if m.crowd is not None:
+        cross = materialize(cross, "fuzzy-pairs").unionByName(crowd_pairs(m.crowd, label)).distinct()
+    more = materialize(m.links(materialize(cross, "met-pairs")), "cross-links")
+    label = label if more.isEmpty() else components(near.select("a", "b").unionByName(more.select("a", "b")))
+    linked = m.members.join(label, "rep").groupBy("label").agg(F.min("id").alias("_least"))
+    of = label.join(linked, "label").select("rep", "_least")
+    alone = m.members.groupBy("rep").agg(F.min("id").alias("_own"))
     return (
-        members.join(labels.select("rep", "label"), "rep", "left")
-        .join(degree, "rep", "left")
-        .select("id", F.coalesce("label", "rep").alias("group_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
+        m.members.join(of, "rep", "left").join(alone, "rep")
+        .select("id", F.coalesce("_least", "_own").alias("group_id"), "n_copies")
+        .groupBy("id", "group_id").agg(F.max("n_copies").alias("n_copies"))
+    )

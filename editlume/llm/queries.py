@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from editlume.llm.leakage import find_leaks
 from editlume.llm.mixing import count_tokens, mix_sources
-from editlume.llm.near_dups import expand_pairs, groups, near_duplicate_classes
+from editlume.llm.near_dups import expand_pairs, near_duplicate_classes, near_duplicate_groups
 from editlume.llm.prose import flag_pages
 from editlume.operators.skew import heavy_join
 from editlume.session import materialize, table
@@ -22,21 +22,20 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 P3 = {"shingle": 3, "threshold": 0.6, "min_words": 20}
 
 
-def _classes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return near_duplicate_classes(table(spark, sf, "revision").select("rev_id", "text"), "rev_id", "text", **P3)
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "revision").select("rev_id", "text")
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return expand_pairs(*_classes(spark, sf)).select(F.col("a").alias("rev_id_a"), F.col("b").alias("rev_id_b"))
+    found = near_duplicate_classes(_texts(spark, sf), "rev_id", "text", **P3)
+    return expand_pairs(*found).select(F.col("a").alias("rev_id_a"), F.col("b").alias("rev_id_b"))
 
 
 def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """Per revision: its group, the number of equal copies, the number of links; and whether the stored hash could show the copy."""
-    found = groups(*_classes(spark, sf))
+    """Per revision: its group, the number of equal copies, and the stored hash, which could show only the copies."""
+    found = near_duplicate_groups(_texts(spark, sf), "rev_id", "text", **P3)
     stored = table(spark, sf, "revision_hash").groupBy("rev_id").agg(F.max(F.lower("rev_hash")).alias("rev_hash"))
-    return found.join(stored, found["id"] == stored["rev_id"], "left").select(
-        F.col("id").alias("rev_id"), "group_id", "n_copies", "n_links", "rev_hash"
-    )
+    return found.join(stored, found["id"] == stored["rev_id"], "left").select(F.col("id").alias("rev_id"), "group_id", "n_copies", "rev_hash")
 
 
 def _leaks(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,8 @@ import re
 
 import pytest
 
-from editlume.llm.near_dups import expand_pairs, groups, near_duplicate_classes
+from editlume.llm import near_dups
+from editlume.llm.near_dups import expand_pairs, near_duplicate_classes, near_duplicate_groups
 
 WORD = re.compile(r"[^\W_]+")
 SCHEMA = "rev_id long, text string, id long, rep string, key int, grams string"
@@ -72,8 +73,8 @@ def test_edge_cases(spark):
     m, links = near_duplicate_classes(frame(spark, rows), "rev_id", "text", 3, 0.6, 20)
     assert {(r.a, r.b) for r in expand_pairs(m, links).collect()} == {(1, 2), (1, 3), (2, 3), (8, 9)}
     assert {(r.id, r.rep, r.n_copies) for r in m.collect()} == {(1, 1, 2), (2, 1, 2), (3, 3, 1), (8, 8, 1), (9, 9, 1), (10, 10, 1)}
-    g = {r.id: (r.group_id, r.n_copies, r.n_links) for r in groups(m, links).collect()}
-    assert g == {1: (1, 2, 1), 2: (1, 2, 1), 3: (1, 1, 1), 8: (8, 1, 1), 9: (8, 1, 1), 10: (10, 1, 0)}
+    g = {r.id: (r.group_id, r.n_copies) for r in near_duplicate_groups(frame(spark, rows), "rev_id", "text", 3, 0.6, 20).collect()}
+    assert g == {1: (1, 2), 2: (1, 2), 3: (1, 1), 8: (8, 1), 9: (8, 1), 10: (10, 1)}
 
 
 def test_many_copies_stay_one_class(spark):
@@ -109,10 +110,61 @@ def test_copies_and_one_variant(spark):
 def test_chain_of_groups(spark):
     words = [f"c{k}" for k in range(200)]
     rows = [(k, " ".join(words[5 * k : 5 * k + 60])) for k in range(25)]  # neighbours are alike, ends are not
+    assert {r.group_id for r in near_duplicate_groups(frame(spark, rows), "rev_id", "text", 3, 0.6, 20).collect()} == {0}
+
+
+def test_two_texts_under_one_id(spark):
+    a, b = ([f"{x}{k}" for k in range(60)] for x in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a, "tail"])), (3, " ".join([*b, "tail"])), (4, " ".join(a))]
+    m, links = near_duplicate_classes(frame(spark, rows), "rev_id", "text", 3, 0.6, 20)
+    assert {(r.a, r.b) for r in expand_pairs(m, links).collect()} == {(1, 2), (1, 3), (1, 4), (2, 4)}
+    g = {(r.id, r.group_id) for r in near_duplicate_groups(frame(spark, rows), "rev_id", "text", 3, 0.6, 20).collect()}
+    assert g == {(1, 1), (2, 1), (3, 1), (4, 1)}
+
+
+@pytest.mark.parametrize("size, threshold, edits", [(3, 0.6, 10), (5, 0.8, 40)])
+def test_groups_are_components_of_all_pairs(spark, size, threshold, edits):
+    rows = corpus(size + 10, edits)
+    least = {i: i for i, t in rows if len(WORD.findall(t)) >= 20}
+    pairs = brute(rows, size, threshold, 20)
+    for _ in range(30):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    assert {r.id: r.group_id for r in near_duplicate_groups(frame(spark, rows), "rev_id", "text", size, threshold, 20).collect()} == least
+
+
+def test_groups_compare_in_proportion(spark, monkeypatch):
+    """A group of n variants takes about n comparisons of whole sets, not n squared; two groups alike below the threshold stay two."""
+    asked = []
+    real = near_dups.Meeting.links
+    monkeypatch.setattr(near_dups.Meeting, "links", lambda self, pairs: asked.append(pairs.count()) or real(self, pairs))
+    rnd, counts = random.Random(9), {}
+    for n in (100, 200, 400):
+        asked.clear()
+        words = [f"g{k}" for k in range(120)]
+        other = [*words[:50], *[f"h{k}" for k in range(70)]]
+        rows = [(k, variant(rnd, words, k)) for k in range(n)] + [(1000, " ".join(other)), (1001, " ".join([*other, "x"]))]
+        got = {r.id: r.group_id for r in near_duplicate_groups(frame(spark, rows), "rev_id", "text", 3, 0.6, 20).collect()}
+        assert got == {**dict.fromkeys(range(n), 0), 1000: 1000, 1001: 1000}
+        counts[n] = sum(asked)
+    assert counts[400] < 12 * 400 and counts[400] < 6 * counts[100], counts
+
+
+def test_pairs_of_many_copies(spark):
+    base = " ".join(f"a{k}" for k in range(30))
+    m, links = near_duplicate_classes(frame(spark, [(k, base) for k in range(700)]), "rev_id", "text", 3, 0.6, 20)
+    assert expand_pairs(m, links).count() == expand_pairs(m, links, 10).count() == 700 * 699 // 2
+
+
+def test_filter_of_many_ids(spark, monkeypatch):
+    rows = corpus(3, 10, 20)
+    want = brute(rows, 3, 0.6, 20)
+    monkeypatch.setattr(near_dups, "FILTER_IDS", 1)
     m, links = near_duplicate_classes(frame(spark, rows), "rev_id", "text", 3, 0.6, 20)
-    assert {r.group_id for r in groups(m, links).collect()} == {0}
+    assert {(r.a, r.b) for r in expand_pairs(m, links).collect()} == want
 
 
 def test_empty(spark):
     m, links = near_duplicate_classes(frame(spark, []), "rev_id", "text")
-    assert m.count() == 0 and links.count() == 0 and expand_pairs(m, links).count() == 0 and groups(m, links).count() == 0
+    assert m.count() == 0 and links.count() == 0 and expand_pairs(m, links).count() == 0
+    assert near_duplicate_groups(frame(spark, []), "rev_id", "text").count() == 0
