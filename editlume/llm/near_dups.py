@@ -255,10 +255,13 @@ def _similar_size(na: Column, nb: Column, threshold: float) -> Column:
 
 def meeting(keys: DataFrame, threshold: float, label: bool = False) -> DataFrame:
     """Pairs (a, b), a < b, of classes with a key in common, fields within two bits, and sizes that allow the threshold; of different labels, if `label`."""
-    cols = ["rep", "field", "n", *["label"] * label]
-    left, right = (keys.select("key", *[F.col(c).alias(c + x) for c in cols]) for x in "ab")
-    near = F.bit_count(F.col("fielda").bitwiseXOR(F.col("fieldb"))) <= golay.TOLERANCE
-    met = left.join(right, "key").where((F.col("repa") < F.col("repb")) & near & _similar_size(F.col("na"), F.col("nb"), threshold))
+    cols = ["rep", "_f", *["label"] * label]
+    packed = keys.withColumn("_f", F.shiftleft(F.col("n").cast("long"), golay.N_BITS).bitwiseOR(F.col("field")))  # the shuffle's rows are narrower so
+    left, right = (packed.select("key", *[F.col(c).alias(c + x) for c in cols]) for x in "ab")
+    field = lambda c: F.col(c).bitwiseAND(F.lit((1 << golay.N_BITS) - 1))
+    near = F.bit_count(field("_fa").bitwiseXOR(field("_fb"))) <= golay.TOLERANCE
+    similar = _similar_size(F.shiftright("_fa", golay.N_BITS), F.shiftright("_fb", golay.N_BITS), threshold)
+    met = left.join(right, "key").where((F.col("repa") < F.col("repb")) & near & similar)
     if label:
         met = met.where("labela <> labelb")
     return met.select(F.col("repa").alias("a"), F.col("repb").alias("b")).distinct()
@@ -412,7 +415,9 @@ def meet(docs: DataFrame, doc_id: str, text: str, shingle: int, threshold: float
     members = materialize(members, "members")
     drop_materialized(prints)
     segments = segments_of(folded)
-    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1")
+    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n"), F.bit_xor("field").alias("_x"), F.min("n").alias("_lo"), F.max("n").alias("_hi")).where("_n > 1")
+    # an anchor of two texts whose fields or sizes are too far apart brings nobody together
+    shared = shared.where((F.col("_n") > 2) | (F.bit_count("_x") <= golay.TOLERANCE) & _similar_size(F.col("_lo"), F.col("_hi"), threshold))
     met = materialize(segments.join(shared, "anchor").select("anchor", "field", "rep", "n", (F.col("_n") > CROWD).alias("many")), "met-segments")
     sizes = materialize(folded.select("rep", "n", *PARITY), "set-sizes")
     drop_materialized(folded)
