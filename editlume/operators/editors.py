@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from editlume.operators.pages import first_revisions, within
+from editlume.operators.pages import first_revisions, moment, within
 
 ACTIVE, VERY_ACTIVE = 5, 100
 
@@ -75,7 +75,7 @@ def weekly_newcomers(revision: DataFrame, user_groups: DataFrame, since_year: in
     first = first_revisions(revision, "rev_user")
     if registered_only:
         first = first.where("rev_user > 0")
-    kept = without_bots(first, user_groups).where((F.year("rev_timestamp") >= since_year) & (F.col("rev_timestamp") < F.lit(before)))
+    kept = without_bots(first, user_groups).where((F.year("rev_timestamp") >= since_year) & (F.col("rev_timestamp") < moment(before)))
     week = F.date_trunc("week", "rev_timestamp").cast("date")
     return kept.groupBy(week.alias("week"), year_week(F.col("rev_timestamp")).alias("year_week")).agg(F.count("*").alias("new_editors"))
 

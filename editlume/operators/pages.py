@@ -8,13 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def moment(t: datetime) -> Column:
+    """A literal without a zone, as the time columns are: a plain one would be read in the host's zone."""
+    return F.lit(t.isoformat(" ")).cast("timestamp_ntz")
+
+
 def until(ts: str, up: datetime) -> Column:
-    return F.col(ts) <= F.lit(up)
+    return F.col(ts) <= moment(up)
 
 
 def within(ts: str, low: datetime, up: datetime) -> Column:
     """The half-open period [low, up)."""
-    return (F.col(ts) >= F.lit(low)) & (F.col(ts) < F.lit(up))
+    return (F.col(ts) >= moment(low)) & (F.col(ts) < moment(up))
 
 
 def articles(page: DataFrame) -> DataFrame:
@@ -37,7 +42,7 @@ def first_article_revisions(revision: DataFrame, page: DataFrame) -> DataFrame:
 
 def article_counts(first: DataFrame, low: datetime, up: datetime) -> DataFrame:
     """One row: total length, articles and redirects until `up`, new ones within [low, up), in one pass."""
-    till, new = F.col("rev_timestamp") < F.lit(up), within("rev_timestamp", low, up)
+    till, new = F.col("rev_timestamp") < moment(up), within("rev_timestamp", low, up)
     real, redirect = F.col("rev_is_redirect") == 0, F.col("rev_is_redirect") == 1
     return first.agg(
         F.sum(F.when(till & real, F.col("rev_len"))).alias("month_total_length"),
@@ -51,7 +56,7 @@ def article_counts(first: DataFrame, low: datetime, up: datetime) -> DataFrame:
 def featured_spans(revision: DataFrame, up: datetime) -> DataFrame:
     """Per page ever featured before `up`: first and last featured time and last unfeatured time (NULL if none)."""
     fa, other = F.col("rev_fa") == 1, F.col("rev_fa") == 0
-    spans = revision.where(F.col("rev_timestamp") < F.lit(up)).groupBy("rev_page").agg(
+    spans = revision.where(F.col("rev_timestamp") < moment(up)).groupBy("rev_page").agg(
         F.min(F.when(fa, F.col("rev_timestamp"))).alias("min_ts_fa"),
         F.max(F.when(fa, F.col("rev_timestamp"))).alias("max_ts_fa"),
         F.max(F.when(other, F.col("rev_timestamp"))).alias("max_ts_nofa"),
@@ -67,4 +72,4 @@ def featured_counts(spans: DataFrame, low: datetime, keep_always_featured: bool
     kept = F.col("max_ts_nofa") < F.col("max_ts_fa")
     if keep_always_featured:
         kept = kept | F.col("max_ts_nofa").isNull()
-    return spans.agg(F.count_if(kept).alias("month_fa"), F.count_if(F.col("min_ts_fa") >= F.lit(low)).alias("month_new_fa"))
+    return spans.agg(F.count_if(kept).alias("month_fa"), F.count_if(F.col("min_ts_fa") >= moment(low)).alias("month_new_fa"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -30,6 +31,7 @@ def build_session(master: str | None = None, app: str = "editlume", **conf: str)
 
 
 _shipped: set[str] = set()
+_local_roots: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -47,12 +49,20 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session, a local one only where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir of the session.
+
+    Where it is unset, as in tests, a folder of this machine serves a local master; on a cluster the
+    executors could not read each other's files there, so it is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="editlume-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    sc = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.applicationId not in _local_roots:
+        _local_roots[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="editlume-")
+    return _local_roots[sc.applicationId]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
