@@ -36,10 +36,10 @@ def sessionize(events: DataFrame, entity: str, event_id: str, ts: str, gap_secon
     ts hold); rows with a NULL entity, id or ts are in no session. Ties in ts are ordered by id.
 
     Every event points to its predecessor within the gap, a first one to itself. Each round
-    replaces the pointer by the pointer's pointer, halving the distance to the root; only chains
-    not yet at their root take part, so n events in the longest session need log2(n) + 2 rounds.
-    Rows that have arrived are set aside and only serve as targets. Each round is written to the
-    shared folder, so a lost executor costs one round at most.
+    replaces the pointer by the pointer's pointer, halving the distance to the root; only rows not
+    yet at their root take part, so n events in the longest session need log2(n) + 1 rounds. Rows
+    that have arrived serve as targets as long as they are pointed at. Each round is written to the
+    shared folder, so a lost executor costs one round at most; the tables are the session's scratch.
     """
     once = (
         events.select(F.col(entity).alias("entity"), F.col(event_id).alias("id"), F.col(ts).alias("ts"))
@@ -48,22 +48,24 @@ def sessionize(events: DataFrame, entity: str, event_id: str, ts: str, gap_secon
         .agg(F.max("entity").alias("entity"), F.max("ts").alias("ts"))
     )
     nodes = materialize(link_predecessors(once, gap_seconds), "session-links")
-    settled: list[DataFrame] = []
-    active = nodes.where("pred is not null").select("id", F.col("pred").alias("ptr"))
+    active = nodes.where("pred is not null").select("id", F.col("pred").alias("ptr"), F.lit(False).alias("done"))
+    targets = active
+    roots: DataFrame | None = None
     while True:
-        targets = active
-        for layer in settled:
-            targets = targets.unionByName(layer)
-        targets = targets.select(F.col("id").alias("_t"), F.col("ptr").alias("_next"))
-        # roots have no row among the targets: a pointer without a match has arrived
-        step = materialize(active.join(targets, active["ptr"] == targets["_t"], "left").select("id", "ptr", "_next"), "session-step")
-        settled.append(step.where("_next is null").select("id", "ptr"))
-        active = step.where("_next is not null").select("id", F.col("_next").alias("ptr"))
+        t = targets.select(F.col("id").alias("_t"), F.col("ptr").alias("_next"), F.col("done").alias("_arrived"))
+        # roots have no row among the targets: a pointer without a match has arrived, as has one to a row that has
+        moved = active.join(t, active["ptr"] == t["_t"], "left").select(
+            "id", F.coalesce("_next", "ptr").alias("ptr"), (F.col("_next").isNull() | F.col("_arrived")).alias("done"), F.lit(True).alias("own")
+        )
+        # a row nobody points at now is pointed at by nobody later, as pointers only move towards the root
+        asked = t.where("_arrived").join(active.select("ptr"), F.col("_t") == F.col("ptr"), "left_semi")
+        kept = asked.select(F.col("_t").alias("id"), F.col("_next").alias("ptr"), F.col("_arrived").alias("done"), F.lit(False).alias("own"))
+        step = materialize(moved.unionByName(kept), "session-step")
+        arrived = step.where("own and done").select("id", "ptr")
+        roots = arrived if roots is None else roots.unionByName(arrived)
+        targets, active = step.select("id", "ptr", "done"), step.where("not done").select("id", "ptr", "done")
         if active.isEmpty():
             break
-    roots = settled[0]
-    for layer in settled[1:]:
-        roots = roots.unionByName(layer)
     labelled = nodes.join(roots.withColumnRenamed("ptr", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     return summarize(labelled, entity)
 
