@@ -1,4 +1,4 @@
-"""Per-entity feature table from events: cumulative day cells, as-of endpoint subtraction, recency."""
+"""Per-entity feature table from events: a store of cumulative day cells, as-of endpoint subtraction, recency."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from editlume.session import materialize
+
 
 def clean_label(col: Column) -> Column:
     """Lower case, without outer white space, `_` for `-`."""
@@ -48,15 +50,23 @@ def daily_cells(
 
 
 def cumulative_cells(cells: DataFrame, n_types: int) -> DataFrame:
-    """Running count and total per entity and type at the end of each day with events.
+    """The store: each cell with the running count and total of its entity and type at the end of its day (NULL in the cell of day NULL).
 
     A partition of the window is one entity and type, with at most one row per calendar day: its
     size is bounded by the length of the calendar whatever the number of events.
     """
     key = ["_entity", *[f"_t{i}" for i in range(n_types)]]
-    w = Window.partitionBy(*key).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    dated = cells.where(F.col("day").isNotNull())
-    return dated.withColumn("cum_n", F.sum("n").over(w)).withColumn("cum_total", F.sum("total").over(w))
+    w = Window.partitionBy(*key).orderBy(F.col("day").asc_nulls_last())
+    before = w.rowsBetween(Window.unboundedPreceding, 0)
+    dated = F.col("day").isNotNull()
+    return cells.withColumn("cum_n", F.when(dated, F.sum("n").over(before))).withColumn("cum_total", F.when(dated, F.sum("total").over(before)))
+
+
+def append_cells(store: DataFrame, cells: DataFrame, n_types: int) -> DataFrame:
+    """The store after the `daily_cells` of further events (none of which it has seen): cells of one day add up, later ones are carried on."""
+    key = ["_entity", *[f"_t{i}" for i in range(n_types)], "day"]
+    both = store.drop("cum_n", "cum_total").unionByName(cells)
+    return cumulative_cells(both.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("last").alias("last")), n_types)
 
 
 def window_features(
@@ -80,8 +90,13 @@ def window_features(
     """
     if undated and as_of is not None:
         raise ValueError("events without a timestamp are not before any day")
-    cells = daily_cells(events, entity, event_id, ts, type_cols, value)
-    cum = cumulative_cells(cells, len(type_cols))
+    store = materialize(cumulative_cells(daily_cells(events, entity, event_id, ts, type_cols, value), len(type_cols)), "feature-cells")
+    return features_of(store, entity, type_cols, as_of, windows, undated)
+
+
+def features_of(store: DataFrame, entity: str, type_cols: Sequence[str], as_of: date | None = None, windows: Sequence[int] = (30, 365), undated: bool = False) -> DataFrame:
+    """`window_features`, read from the stored cumulative cells: their endpoints only, whatever the number of events."""
+    cum = store.where("day is not null")
     key = ["_entity", *[f"_t{i}" for i in range(len(type_cols))]]
     if as_of is None:
         end: Column = F.max("day").over(Window.partitionBy(*key))
@@ -90,7 +105,7 @@ def window_features(
         cum = cum.where(F.col("day") <= end)
     cum = cum.withColumn("_end", end)
     if undated:
-        cum = cum.unionByName(cells.where("day is null"), allowMissingColumns=True)
+        cum = cum.unionByName(store.where("day is null"), allowMissingColumns=True)
     rest = lambda c: F.coalesce(F.sum(F.when(F.col("day").isNull(), F.col(c))), F.lit(0))
     at = lambda c, upto: F.coalesce(F.max(F.when(F.col("day") <= upto, F.struct("day", c))).getField(c), F.lit(0))
     aggs = [
