@@ -24,34 +24,39 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
 
 def salted_aggregate(
     df: DataFrame,
-    key: str,
+    keys: Sequence[str],
     distinct_on: str,
     firsts: dict[str, Column],
     merge: dict[str, tuple[Column, Column]],
-    salts: int = 64,
+    rows_per_salt: int = 100_000,
     heavy_share: float = 0.01,
 ) -> DataFrame:
-    """Per-key results in two stages, the heavy keys salted.
+    """Results per key (of one or more columns) in two stages, the heavy keys salted.
 
-    Rows repeated under one `distinct_on` value count once: stage 0 folds them with `firsts`
+    Rows repeated under one `distinct_on` value count once per key: stage 0 folds them with `firsts`
     (alias -> aggregate over the repeated rows), hash-partitioned by (key, salt, distinct_on).
     Stage 1 computes, per (key, salt), the partial aggregates `merge[alias][0]`; stage 2 merges
-    them per key with `merge[alias][1]`, an aggregate over the column `alias`. The salt of a
-    heavy key is a hash of `distinct_on` modulo `salts`: as good as a random one at spreading
-    rows, yet the same again when a lost task is repeated, and equal for repeated rows. Light
-    keys get salt 0 and so take a single partial.
+    them per key with `merge[alias][1]`, an aggregate over the column `alias`. A heavy key (at least
+    `heavy_share` of the rows) has a salt for every `rows_per_salt` of its rows. The salt is a hash of
+    `distinct_on`: as good as a random one at spreading rows, yet the same again when a lost task is
+    repeated, and equal for repeated rows. Light keys get salt 0 and so take a single partial.
 
-    NULL keys are dropped. An empty input gives an empty result.
+    Rows with a NULL in the key are dropped. An empty input gives an empty result.
     """
-    rows = df.where(F.col(key).isNotNull())
-    hot = heavy_keys(rows, key, heavy_share).withColumn("_hot", F.lit(True))
-    marked = rows.join(F.broadcast(hot), rows[key] == hot["_key"], "left")
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(distinct_on)), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    keyed = marked.withColumn("_salt", salt).withColumn("_kv", F.col(key))
+    rows = df
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
+    counts = rows.groupBy(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total"))
+    hot = counts.crossJoin(F.broadcast(total)).where(F.col("_n") >= heavy_share * F.col("_total"))  # 1 / heavy_share at most
+    hot = hot.select(*[f"_h{i}" for i in range(len(keys))], F.ceil(F.col("_n") / rows_per_salt).alias("_salts"))
+    marked = rows.join(F.broadcast(hot), [rows[k] == hot[f"_h{i}"] for i, k in enumerate(keys)], "left")
+    salt = F.coalesce(F.pmod(F.xxhash64(F.col(distinct_on)), F.col("_salts")), F.lit(0)).alias("_salt")
+    names = [f"_k{i}" for i in range(len(keys))]
     # the hash partitioning on (key, salt, id) is finer than (key, salt), so stage 1 shuffles only partials
-    once = keyed.groupBy("_kv", "_salt", F.col(distinct_on).alias("_id")).agg(*[c.alias(a) for a, c in firsts.items()])
-    partial = once.groupBy("_kv", "_salt").agg(*[p.alias(a) for a, (p, _) in merge.items()])
-    return partial.groupBy(F.col("_kv").alias(key)).agg(*[m.alias(a) for a, (_, m) in merge.items()])
+    once = marked.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], salt, F.col(distinct_on).alias("_id")).agg(*[c.alias(a) for a, c in firsts.items()])
+    partial = once.groupBy(*names, "_salt").agg(*[p.alias(a) for a, (p, _) in merge.items()])
+    return partial.groupBy(*[F.col(n).alias(k) for k, n in zip(keys, names)]).agg(*[m.alias(a) for a, (_, m) in merge.items()])
 
 
 def heavy_join(

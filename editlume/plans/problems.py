@@ -13,7 +13,7 @@ from editlume.operators.history import checkpoint_delta, reconstruct, rights_cha
 from editlume.operators.orphans import Reference, orphan_references, orphan_report
 from editlume.operators.sessions import sessionize
 from editlume.operators.skew import salted_aggregate
-from editlume.session import table
+from editlume.session import materialize, table
 
 AS_OF = date(2018, 1, 1)
 SESSION_GAP_S = 3600
@@ -26,7 +26,7 @@ def _features(spark: SparkSession, sf: str, as_of: date | None = None, undated:
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _features(spark, sf).select("log_user", "log_type", "log_action", F.col("last_id").alias("last_log_id"))
+    return _features(spark, sf).where("n > 0").select("log_user", "log_type", "log_action", F.col("last_id").alias("last_log_id"))
 
 
 def p1_window_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,7 +58,7 @@ def _orphans(spark: SparkSession, sf: str) -> DataFrame:
     refs = [
         Reference("rev_page", table(spark, sf, "page"), "page_id", "page"),
         Reference("rev_user", table(spark, sf, "wiki_user"), "user_id", "wiki_user"),
-        Reference("rev_parent_id", rev, "rev_id", "revision", (0,)),
+        Reference("rev_parent_id", None, "rev_id", "revision", (0,)),
     ]
     return orphan_references(rev, "rev_id", "rev_timestamp", "loaded_at", refs, table(spark, sf, "removed_row"))
 
@@ -88,11 +88,14 @@ def p5_history(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _per_key(spark: SparkSession, sf: str, key: str) -> DataFrame:
-    rev = table(spark, sf, "revision").select("rev_id", key, "rev_len", "rev_timestamp")
+def _both_keys(spark: SparkSession, sf: str, also: list | None = None) -> DataFrame:
+    """Per value of rev_page and of rev_user; the table is read once, each row making one row a field."""
+    rev = table(spark, sf, "revision").where("rev_id is not null")
+    fields = [F.struct(F.lit(f).alias("ref_field"), F.col(f).alias("key_value")) for f in ("rev_page", "rev_user")]
+    each = rev.select("rev_id", "rev_len", "rev_timestamp", F.inline(F.array(*fields, *(also or []))))
     return salted_aggregate(
-        rev,
-        key,
+        each,
+        ["ref_field", "key_value"],
         "rev_id",
         {"_len": F.max("rev_len"), "_ts": F.max("rev_timestamp")},
         {
@@ -101,17 +104,15 @@ def _per_key(spark: SparkSession, sf: str, key: str) -> DataFrame:
             "first_ts": (F.min("_ts"), F.min("first_ts")),
             "last_ts": (F.max("_ts"), F.max("last_ts")),
         },
-    ).select(F.lit(key).alias("ref_field"), F.col(key).alias("key_value"), "n_revisions", "total_len", "first_ts", "last_ts")
-
-
-def _both_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return _per_key(spark, sf, "rev_page").unionByName(_per_key(spark, sf, "rev_user"))
+    )
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    total = table(spark, sf, "revision").where("rev_id is not null").groupBy("rev_id").agg(F.lit(1).alias("_one")).agg(F.count("*").alias("_total"))
-    keys = _both_keys(spark, sf).select("ref_field", "key_value", "n_revisions")
-    return keys.crossJoin(F.broadcast(total)).where(F.col("n_revisions") >= HEAVY_SHARE * F.col("_total")).select("ref_field", "key_value")
+    """The total of distinct revisions is one more key, ('', 0), the heaviest."""
+    everything = F.struct(F.lit("").alias("ref_field"), F.lit(0).cast("long").alias("key_value"))
+    keys = materialize(_both_keys(spark, sf, [everything]).select("ref_field", "key_value", "n_revisions"), "per-key")
+    total = keys.where("ref_field = ''").select(F.col("n_revisions").alias("_total"))
+    return keys.where("ref_field <> ''").crossJoin(F.broadcast(total)).where(F.col("n_revisions") >= HEAVY_SHARE * F.col("_total")).select("ref_field", "key_value")
 
 
 def p6_per_key(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,8 +8,9 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from editlume.operators.event_features import clean_label, feature_table, window_features
+from editlume.operators.event_features import append_cells, clean_label, cumulative_cells, daily_cells, feature_table, features_of, window_features
 from editlume.operators.history import canonical_name, checkpoint_delta, group_set, reconstruct, rights_changes
+from editlume.operators import orphans as O
 from editlume.operators.orphans import Reference, orphan_references, orphan_report
 from editlume.operators.sessions import sessionize
 from editlume.operators.skew import heavy_join, heavy_keys, salted_aggregate
@@ -163,6 +164,41 @@ def test_orphans_hot_key_and_empty(spark):
     assert orphan_frames(spark, [], [], []).count() == 0
 
 
+def test_balance_in_batches(spark):
+    """Loads, withdrawals, removals and restorations, merged in batches of any order, give what one run gives."""
+    day = lambda k: T0 + timedelta(days=k)
+    refs = [Reference("rev_page", None, "page_id", "page")]
+    recs = lambda rows: spark.createDataFrame(rows, "_id long, rev_page long, first_loaded timestamp_ntz")
+    keys = lambda *ids: spark.createDataFrame([(i, day(3)) for i in ids], "page_id long, loaded_at timestamp_ntz")
+    batches = [
+        O.reference_deltas(recs([(1, 10, day(1)), (2, 11, day(5)), (3, 12, day(5))]), refs),
+        O.existence_deltas(keys(10, 11, 12), "rev_page", "page_id", "loaded_at"),
+        O.existence_deltas(keys(11, 12), "rev_page", "page_id", None, -1),
+        O.existence_deltas(keys(12), "rev_page", "page_id"),
+        O.reference_deltas(recs([(4, 13, day(2)), (5, 14, day(2))]), refs),
+        O.reference_deltas(recs([(5, 14, day(2))]), refs, -1),
+    ]
+    want = {(10, "late"), (11, "deleted"), (13, "missing")}
+    for order in (batches, batches[::-1], batches[2:] + batches[:2]):
+        balance = None
+        for b in order:
+            balance = O.merge(balance, b)
+        assert {(r.key, r.kind) for r in O.faulty_keys(balance).collect()} == want
+    assert {r.n_ref for r in balance.where("key = 14").collect()} == {0}
+
+
+def test_store_of_cells_in_batches(spark):
+    rnd = random.Random(11)
+    rows = [(i, rnd.randrange(1, 6), rnd.choice("ab"), "x", None if i % 17 == 0 else T0 + timedelta(days=rnd.randrange(60)), rnd.choice([None, 2])) for i in range(300)]
+    types = ["log_type", "log_action"]
+    cells = lambda part: daily_cells(events(spark, part), "log_user", "log_id", "log_timestamp", types, "v")
+    whole = cumulative_cells(cells(rows), 2)
+    grown = append_cells(cumulative_cells(cells(rows[::2]), 2), cells(rows[1::2]), 2)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, grown.select(whole.columns).collect()))
+    a, b = (sorted(map(str, features_of(s, "log_user", types, date(2015, 2, 1), (7,)).collect())) for s in (whole, grown))
+    assert a == b and a
+
+
 def test_group_sets(spark):
     texts = ["a:1:{i:0;s:3:\"Bot\";}", "['sysop', 'Bot']", "bot,sysop,bot", "x | y-z", "(none)", "[]", " ", "a:0:{}", None, "a\nb"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "x string").select(group_set(F.col("x"))).collect()]
@@ -221,7 +257,7 @@ def test_salted_aggregate_against_loop(spark):
     rows = [(i, 1 if rnd.random() < 0.4 else rnd.randrange(300), rnd.choice([None, 3])) for i in range(3000)]
     rows += rows[:300] + [(9999, None, 1)]
     df = spark.createDataFrame(rows, "id long, k long, v long")
-    got = salted_aggregate(df, "k", "id", {"_v": F.max("v")}, {"n": (F.count("*"), F.sum("n")), "s": (F.sum("_v"), F.sum("s"))}, salts=7)
+    got = salted_aggregate(df, ["k"], "id", {"_v": F.max("v")}, {"n": (F.count("*"), F.sum("n")), "s": (F.sum("_v"), F.sum("s"))}, rows_per_salt=200)
     want: dict = {}
     for i, k, v in {r[0]: r for r in rows}.values():
         if k is not None:
@@ -230,7 +266,7 @@ def test_salted_aggregate_against_loop(spark):
     assert {r.k: (r.n, r.s) for r in got.collect()} == want
     assert {r[0] for r in heavy_keys(df, "k", 0.1).collect()} == {1}
     empty = df.where("id < 0")
-    assert salted_aggregate(empty, "k", "id", {"_v": F.max("v")}, {"n": (F.count("*"), F.sum("n"))}).count() == 0
+    assert salted_aggregate(empty, ["k"], "id", {"_v": F.max("v")}, {"n": (F.count("*"), F.sum("n"))}).count() == 0
 
 
 def test_heavy_join_keeps_every_row(spark):
