@@ -63,7 +63,8 @@ class ItemIndex:
     sets: list[np.ndarray] = field(default_factory=list)
     runs: list[np.ndarray] = field(default_factory=list)
     known: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
-    unfiltered: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # too short for any bound: compared with every text
+    short_hash: np.ndarray = field(default_factory=lambda: np.zeros(0, U))  # word sequences of items too short for any bound, sorted
+    short_item: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
 
 def build_index(ids: list[int], texts: list[str], run: int, shingle: int, share: float, q: int = Q) -> ItemIndex:
@@ -127,10 +128,26 @@ def build_index(ids: list[int], texts: list[str], run: int, shingle: int, share:
     out.run_hits, out.run_chars, out.half_hits = run_hits, run_chars, half_hits
     out.known = np.zeros(1 << _FILTER_BITS, dtype=bool)
     out.known[(out.grams & U((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-    out.unfiltered = np.asarray(unfiltered, dtype=np.int64)
+    if unfiltered:
+        short = np.concatenate([out.sets[i] for i in unfiltered])
+        by = np.argsort(short, kind="stable")
+        out.short_hash, out.short_item = short[by], np.repeat(unfiltered, [len(out.sets[i]) for i in unfiltered])[by]
     return out
 
 
+def short_pairs(index: ItemIndex, w: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, item) of the short items of which a text has a word sequence, as each case must."""
+    if not len(index.short_hash):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h, doc, _ = shingles(w, shingle)
+    lo, hi = (np.searchsorted(index.short_hash, h, side=side) for side in ("left", "right"))
+    some = np.flatnonzero(hi > lo)
+    lo, size = lo[some], (hi - lo)[some]
+    at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    pair = np.unique((np.repeat(doc[some], size) << 20) | index.short_item[at])
+    return pair >> 20, pair & _ITEM
+
+
 def hits(index: ItemIndex, text: Batch, q: int = Q) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, text offset, item, item offset) of every q-gram that a text and an item share."""
     h, off = qgrams(text, q)
@@ -186,7 +203,7 @@ def banded_distance(item: Batch, i: np.ndarray, text: Batch, d: np.ndarray, low:
     return best
 
 
-def _candidates(index: ItemIndex, text: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _candidates(index: ItemIndex, text: Batch, w: Words, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, item, edit distance or -1) of the pairs that pass the bounds."""
     doc, at, item, pos = hits(index, text)
     # half a band per key: text (10 bits), item (20 bits), half band (24 bits)
@@ -212,11 +229,9 @@ def _candidates(index: ItemIndex, text: Batch) -> tuple[np.ndarray, np.ndarray,
     pk = distinct[first]
     pk = pk[m >= index.half_hits[pk & _ITEM]]
     hd, hi = pk >> 20, pk & _ITEM
-    texts = len(text.start) - 1
-    every = index.unfiltered
-    all_d = np.concatenate((bd[ok], hd, np.tile(np.arange(texts), len(every))))
-    all_i = np.concatenate((bi[ok], hi, np.repeat(every, texts)))
-    all_e = np.concatenate((dist[ok], np.full(len(hd) + texts * len(every), -1)))
+    sd, si = short_pairs(index, w, shingle)
+    all_d, all_i = np.concatenate((bd[ok], hd, sd)), np.concatenate((bi[ok], hi, si))
+    all_e = np.concatenate((dist[ok], np.full(len(hd) + len(sd), -1)))
     order = np.lexsort((np.where(all_e < 0, 1 << 30, all_e), all_i, all_d))
     all_d, all_i, all_e = all_d[order], all_i[order], all_e[order]
     first = np.ones(len(all_d), dtype=bool)
@@ -234,6 +249,7 @@ def find_leaks(
     shingle: int = 3,
     share: float = 0.5,
     block_chars: int = 2_000_000,
+    blocks_a_pass: int = 4,
 ) -> DataFrame:
     """(doc_id, item_id, has_run, shared, edits): every text that contains an item, whole or in part.
 
@@ -243,7 +259,8 @@ def find_leaks(
     the best alignment found in a kept band, NULL if none was kept.
 
     Items are the stated query set: they are taken in blocks of `block_chars` characters, each sent
-    to the workers once, and every text is read whole for each block. Items of fewer than `shingle`
+    to the workers once (some 50 MB a block). A pass over the corpus, in which every text is read
+    and normalised once, serves `blocks_a_pass` of them. Items of fewer than `shingle`
     words, NULL ids and NULL texts are never found; rows repeated under one id count once (with
     differing texts, any of them may make the case). Extra columns are ignored.
     """
@@ -254,43 +271,49 @@ def find_leaks(
     known = items.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null").distinct()
     found: DataFrame | None = None
 
-    def search(block: list) -> DataFrame:
-        index = spark.sparkContext.broadcast(build_index([r["id"] for r in block], [r["text"] for r in block], run, shingle, share))
+    def search(blocks: list[list]) -> DataFrame:
+        indexes = [spark.sparkContext.broadcast(build_index([r["id"] for r in b], [r["text"] for r in b], run, shingle, share)) for b in blocks]
+
+        def look_up(x: ItemIndex, piece: pa.RecordBatch, texts: list[str], reduced: Batch, words_: Words) -> pa.RecordBatch | None:
+            d, i, e = _candidates(x, reduced, words_, shingle)
+            if not len(d):
+                return None
+            chosen, place = np.unique(d, return_inverse=True)
+            _, w = _reduce([texts[k] for k in chosen])
+            sh, sd, _ = shingles(w, shingle)
+            rh, rd, _ = shingles(w, run)
+            sb = np.searchsorted(sd, np.arange(len(chosen) + 1))
+            rb = np.searchsorted(rd, np.arange(len(chosen) + 1))
+            shared = np.array([np.isin(x.sets[b], sh[sb[a] : sb[a + 1]]).sum() / max(1, len(x.sets[b])) for a, b in zip(place, i)])
+            has_run = np.array([np.isin(x.runs[b], rh[rb[a] : rb[a + 1]]).any() for a, b in zip(place, i)], dtype=bool)
+            ok = has_run | (shared >= share - 1e-12)
+            ids = piece.column(0).take(pa.array(d[ok]))
+            edits = pa.array(e[ok].astype(np.int32), mask=e[ok] < 0)
+            return pa.RecordBatch.from_arrays([ids, pa.array(x.ids[i[ok]]), pa.array(has_run[ok]), pa.array(shared[ok]), edits], names=[doc_id, item_id, "has_run", "shared", "edits"])
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            x = index.value
             for batch in batches:
                 for piece in pieces(batch, 1):
                     texts = piece.column(1).to_pylist()
-                    reduced, _ = _reduce(texts)
-                    d, i, e = _candidates(x, reduced)
-                    if not len(d):
-                        continue
-                    chosen, place = np.unique(d, return_inverse=True)
-                    _, w = _reduce([texts[k] for k in chosen])
-                    sh, sd, _ = shingles(w, shingle)
-                    rh, rd, _ = shingles(w, run)
-                    sb = np.searchsorted(sd, np.arange(len(chosen) + 1))
-                    rb = np.searchsorted(rd, np.arange(len(chosen) + 1))
-                    shared = np.array([np.isin(x.sets[b], sh[sb[a] : sb[a + 1]]).sum() / max(1, len(x.sets[b])) for a, b in zip(place, i)])
-                    has_run = np.array([np.isin(x.runs[b], rh[rb[a] : rb[a + 1]]).any() for a, b in zip(place, i)], dtype=bool)
-                    ok = has_run | (shared >= share - 1e-12)
-                    ids = piece.column(0).take(pa.array(d[ok]))
-                    edits = pa.array(e[ok].astype(np.int32), mask=e[ok] < 0)
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(x.ids[i[ok]]), pa.array(has_run[ok]), pa.array(shared[ok]), edits], names=[doc_id, item_id, "has_run", "shared", "edits"])
+                    reduced, w = _reduce(texts)  # once for all blocks
+                    for index in indexes:
+                        if (got := look_up(index.value, piece, texts, reduced, w)) is not None:
+                            yield got
 
         return rows.mapInArrow(work, schema)
 
-    block: list = []
+    blocks: list[list] = [[]]
     size = 0
     for r in known.toLocalIterator():
-        block.append(r)
+        if size >= block_chars or len(blocks[-1]) >= MAX_ITEMS:
+            if len(blocks) == blocks_a_pass:
+                part = search(blocks)
+                found = part if found is None else found.unionByName(part)
+                blocks = []
+            blocks.append([])
+            size = 0
+        blocks[-1].append(r)
         size += len(r["text"])
-        if size >= block_chars or len(block) >= MAX_ITEMS:
-            part = search(block)
-            found = part if found is None else found.unionByName(part)
-            block, size = [], 0
-    if block or found is None:
-        part = search(block)
-        found = part if found is None else found.unionByName(part)
+    part = search(blocks)
+    found = part if found is None else found.unionByName(part)
     return found.groupBy(doc_id, item_id).agg(F.max("has_run").alias("has_run"), F.max("shared").alias("shared"), F.min("edits").alias("edits"))

@@ -76,6 +76,15 @@ def test_against_search(spark, seed):
 def test_blocks_of_items_give_the_same(spark):
     docs, items = corpus(4)
     assert set(found(spark, docs, items, block_chars=300)) == brute(docs, items)
+    assert set(found(spark, docs, items, block_chars=300, blocks_a_pass=1)) == brute(docs, items)
+
+
+def test_short_items_meet_by_their_sequences():
+    """Items too short for a bound of q-grams are compared only with texts that have a word sequence of theirs."""
+    index = L.build_index([7, 8], ["a b c", "d e f g"], 12, 3, 0.5)
+    assert len(index.short_hash) == 3
+    _, w = L._reduce(["x a b c y", "a b x c", "e f g", "", "d e f g a b c"])
+    assert {(int(d), int(index.ids[i])) for d, i in zip(*L.short_pairs(index, w, 3))} == {(0, 7), (2, 8), (4, 7), (4, 8)}
 
 
 def test_edge_cases(spark):
