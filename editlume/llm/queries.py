@@ -50,7 +50,7 @@ def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return _leaks(spark, sf)
 
 
-def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _mix(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Topic: the namespace of the document's page, as far as it has one."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "source", "lang", "page_id")
     page = table(spark, sf, "page").where("page_id is not null").groupBy(F.col("page_id").alias("pid")).agg(F.max("page_namespace").alias("topic"))
@@ -67,6 +67,10 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _mix(spark, sf)[1]
 
 
+def p8_margins(spark: SparkSession, sf: str) -> DataFrame:
+    return _mix(spark, sf)[2]
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_scores(spark, sf).where("flagged").select("doc_id")
 
@@ -75,7 +79,7 @@ def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
     return flag_pages(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_scores)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_leaks, p8_mix, p8_shares, p8_margins, p9_found, p9_scores)}
 # p7: DuckDB has no NFKC; NFC gives the same words wherever a text holds no compatibility characters that matter to a case
 SQL: dict[str, str] = {
     "p3_found": """WITH t AS (SELECT rev_id, max(text) AS text FROM revision WHERE rev_id IS NOT NULL AND text IS NOT NULL GROUP BY rev_id),

@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from editlume.llm.mixing import count_tokens, mix_sources, rake
+from editlume.llm.mixing import count_tokens, mix_sources, rake, rake_rows
 from editlume.llm.prose import coder, features, flag_pages, train_on
 from editlume.llm.queries import PATTERN, RANKS, TOKENIZERS
 
@@ -28,7 +28,7 @@ def test_mix(spark):
     rows += rows[:50] + [(None, "en", "big", 1, 5, "x"), (10**6, "en", None, 1, 5, "x"), (10**6 + 1, "en", "big", 1, 0, "x"), (10**6 + 2, "en", "big", 1, None, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, topic int, n_tokens long, w string")
     targets = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.3, 2), ("small", 0.15, 4), ("gone", 0.05, 2), ("gone", 0.05, 2), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
-    chosen, shares = mix_sources(docs, targets, "doc_id")
+    chosen, shares, reached = mix_sources(docs, targets, "doc_id")
     got = {r.source: r for r in shares.collect()}
     assert set(got) == {"big", "mid", "small", "gone"} and got["gone"].actual_share == 0
     for s, share in (("big", 0.5), ("mid", 0.3), ("small", 0.15)):
@@ -36,11 +36,30 @@ def test_mix(spark):
     picked = chosen.collect()
     assert len({r.doc_id for r in picked}) == len(picked) and sum(r.n_tokens * r.copies for r in picked if r.source == "big") == got["big"].tokens_mixed
     assert sorted(map(tuple, mix_sources(docs, targets, "doc_id")[0].collect())) == sorted(map(tuple, picked))
-    empty, none = mix_sources(docs.where("doc_id < 0"), targets, "doc_id")
-    assert empty.count() == 0 and none.count() == 4
+    axes = {(r.axis, r.name): r for r in reached.collect()}
+    assert all(abs(sum(r.actual_share for (a, _), r in axes.items() if a == axis) - 1) < 1e-9 for axis in ("source", "lang", "topic"))
+    assert all(abs(r.actual_share - r.target_share) < 0.02 for (a, _), r in axes.items() if a == "lang") and ("lang", "und") in axes
+    empty, none, bare = mix_sources(docs.where("doc_id < 0"), targets, "doc_id")
+    assert empty.count() == 0 and none.count() == 4 and bare.count() == 4
     assert mix_sources(docs, targets.where("source = 'x'"), "doc_id")[0].count() == 0
 
 
+def test_many_cells(spark):
+    """More cells than the driver takes: the same weights from aggregates, the same shares."""
+    rnd = random.Random(3)
+    cells = [(s, l, str(t), rnd.randrange(1, 500)) for s in "abc" for l in ("en", "de") for t in range(12) if rnd.random() < 0.8]
+    targets = {"a": (0.5, 2), "b": (0.3, 1), "c": (0.2, 3), "gone": (0.1, 1)}
+    want = {(s, l, t): w for s, l, t, w in rake(cells, targets).cells}
+    got = {(r.source, r.lang, r.topic): r.w for r in rake_rows(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long"), targets).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-4 * max(1, want[k]) for k in want)
+    docs = spark.createDataFrame([(k, "en", "ab"[k % 2], k % 90, 1 + k % 7) for k in range(4000)], "doc_id long, lang string, source string, topic int, n_tokens long")
+    goal = spark.createDataFrame([("a", 0.6, 2), ("b", 0.4, 1)], "source string, target_share double, max_repeats int")
+    for driver_cells in (10_000, 20):
+        chosen, shares, _ = mix_sources(docs, goal, "doc_id", driver_cells=driver_cells)
+        assert all(abs(r.actual_share - r.target_share) < 0.01 and r.most_copies <= r.max_repeats for r in shares.collect())
+    assert rake_rows(spark.createDataFrame([], "source string, lang string, topic string, tokens long"), targets).count() == 0
+
+
 @pytest.mark.skipif(not os.path.exists(f"{TOKENIZERS}/{RANKS}"), reason="no tokenizer files")
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "Hello world", "x"), (2, None, "y"), (3, "", "z"), (4, "<|endoftext|> é日本", "z")], "doc_id long, text string, n string")
