@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -14,22 +15,23 @@ from editlume.session import build_session, drop_materialized, materialize
 from editlume.sources.files import dump_dir, find_dumps
 from editlume.sources.sinks import write_table
 from editlume.sources.sql_dump import read_sql_dump
-from editlume.sources.xml_dump import history_tables, logitems, pages, read_namespaces, read_pages_raw, revisions
+from editlume.sources.xml_dump import history_tables, logitems, pages, read_namespaces, read_revisions_raw, revisions
 from editlume.schemas import SQL_DUMPS
 
 
-def revision_history(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
+def revision_history(spark: SparkSession, cfg: JobConfig, decoder: Sequence[str] = ()) -> dict[str, int]:
     """page, namespaces, revision, revision_hash, revision_ip, user, revision_user_zero; rows written by table.
 
-    The XML is parsed twice (pages, revisions); everything else reads the parsed revisions.
+    The dumps are read once, by the revision, into a table of the shared folder; all else reads that.
     """
     check_wiki(cfg.lang)
-    paths = find_dumps(dump_dir(cfg.dumps_dir, cfg.lang, cfg.date), "history" if cfg.task == "history" else "stub")
-    raw = read_pages_raw(spark, paths)
-    parsed = materialize(revisions(raw, cfg.lang, cfg.compat_minor), "parsed-revisions")
-    tables = {"page": pages(raw), "namespaces": read_namespaces(spark, paths[0]), **history_tables(parsed)}
+    paths = find_dumps(dump_dir(cfg.dumps_dir, cfg.lang, cfg.date), "history" if cfg.task == "history" else "stub", bool(decoder))
+    staged = materialize(read_revisions_raw(spark, paths, decoder), "raw-revisions")
+    parsed = materialize(revisions(staged, cfg.lang, cfg.compat_minor), "parsed-revisions")
+    tables = {"page": pages(staged), "namespaces": read_namespaces(spark, paths[0], decoder), **history_tables(parsed)}
     out = {name: write_table(df, cfg.output, name, cfg.lang, max_rows=cfg.max_rows_per_file) for name, df in tables.items()}
     drop_materialized(parsed)
+    drop_materialized(staged)
     return out
 
 

@@ -9,6 +9,10 @@ PAGE_XML = (
     "minor: STRING, comment: STRING, text: STRUCT<_VALUE: STRING, `_xml:space`: STRING, _deleted: STRING>>>, "
     "_corrupt STRING"
 )
+REVISION_XML = (
+    "id LONG, timestamp STRING, contributor STRUCT<ip: STRING, username: STRING, id: LONG, _deleted: STRING>, "
+    "minor STRING, comment STRING, text STRUCT<_VALUE: STRING, `_xml:space`: STRING, _deleted: STRING>, _corrupt STRING"
+)
 LOGITEM_XML = (
     "id LONG, timestamp STRING, contributor STRUCT<username: STRING, id: LONG, _deleted: STRING>, comment STRING, "
     "type STRING, action STRING, logtitle STRING, params STRUCT<_VALUE: STRING, `_xml:space`: STRING>, _corrupt STRING"

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +29,9 @@ def dump_dir(root: str, lang: str, date: str) -> Path:
     return Path(root).expanduser() / f"{lang}_dumps" / date
 
 
-def find_dumps(folder: str | Path, task: str) -> list[str]:
-    """The files of the first pattern that has any."""
-    for pattern in PATTERNS[task]:
+def find_dumps(folder: str | Path, task: str, decodes_7z: bool = False) -> list[str]:
+    """The files of the first pattern that has any; 7z archives, unless they can be decoded, only where there is nothing else."""
+    for pattern in sorted(PATTERNS[task], key=lambda p: p.endswith(".7z") and not decodes_7z):
         found = sorted(str(p) for p in Path(folder).glob(pattern))
         if found:
             return found
@@ -52,12 +56,30 @@ def fetch(urls: Sequence[str], get: Callable[[str], bytes], folder: str) -> list
     return out
 
 
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        found = []
+        for path in paths:
+            fs, at = pafs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+            h = hashlib.md5()
+            with fs.open_input_stream(unquote(at)) as f:
+                while chunk := f.read(1 << 20):
+                    h.update(chunk)
+            found.append(h.hexdigest())
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(found, pa.string())], names=["path", "actual"])
+
+
 def verify_md5(spark: SparkSession, folder: str, manifest: str, glob: str = "*") -> DataFrame:
-    """name, expected, actual, ok of each manifest line ('digest  name'); a missing file has actual NULL and ok false."""
+    """name, expected, actual, ok of each manifest line ('digest  name'); a missing file has actual NULL and ok false.
+
+    Files of any size are read in chunks, a file a task, through the file system their address names.
+    """
     line = spark.read.text(manifest).select(F.split(F.trim("value"), r"\s+").alias("p")).where(F.size("p") == 2)
     want = line.select(F.lower(F.get("p", F.lit(0))).alias("expected"), F.get("p", F.lit(1)).alias("name"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    have = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.md5("content").alias("actual"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
+    digests = files.repartition("path").mapInArrow(_digest, "path string, actual string")
+    have = digests.select(F.element_at(F.split("path", "/"), -1).alias("name"), "actual")
     return want.join(have, "name", "left").withColumn("ok", F.coalesce(F.col("expected") == F.col("actual"), F.lit(False)))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,48 +16,38 @@ from editlume.session import ship_package
 _ESCAPES = {"0": "\0", "n": "\n", "r": "\r", "t": "\t", "b": "\b", "Z": "\x1a"}
 
 
+# a quoted string (with an optional charset mark), a bare value, or an end of a value or row
+_TOKEN = re.compile(r"(?:_binary\s*)?'((?:[^'\\]|\\.|'')*)'|([^\s'(),;][^'(),;]*)|([(),])", re.S | re.I)
+_ESCAPED = re.compile(r"\\(.)|''", re.S)
+
+
+def _plain(m: re.Match[str]) -> str:
+    return "'" if m[1] is None else _ESCAPES.get(m[1], m[1])
+
+
 def insert_tuples(line: str) -> Iterator[list[str | None]]:
-    """The value tuples of one INSERT line: quoted strings unescaped, NULL as None, the rest as written."""
+    """The value tuples of one INSERT line: quoted strings unescaped, NULL as None, the rest as written; one token at a time."""
     at = line.find("VALUES")
-    n = len(line)
-    at = n if at < 0 else at + len("VALUES")
-    row: list[str | None] = []
-    word: list[str] = []
-    quoted = inside = False
-    while at < n:
-        c = line[at]
-        if not inside:
-            if c == "(":
-                inside, row, word, quoted = True, [], [], False
-        elif c == "'":
-            quoted = True
-            at += 1
-            while at < n:
-                end = at
-                while end < n and line[end] not in "'\\":
-                    end += 1
-                word.append(line[at:end])
-                if end < n and line[end] == "\\":
-                    word.append(_ESCAPES.get(line[end + 1 : end + 2], line[end + 1 : end + 2]))
-                    at = end + 2
-                elif line[end + 1 : end + 2] == "'":  # a doubled quote stands for one
-                    word.append("'")
-                    at = end + 2
-                else:
-                    at = end
-                    break
-        elif c in ",)":
-            text = "".join(word)
-            row.append(text if quoted else None if text.strip().upper() == "NULL" else text.strip())
-            word, quoted = [], False
-            if c == ")":
-                inside = False
+    if at < 0:
+        return
+    row: list[str | None] | None = None
+    value: str | None = None
+    for m in _TOKEN.finditer(line, at + len("VALUES")):
+        quoted, bare, mark = m.groups()
+        if mark == "(":
+            row, value = [], ""
+        elif row is None:
+            continue
+        elif mark:
+            row.append(value)
+            value = ""
+            if mark == ")":
                 yield row
-        elif not quoted and c != " ":
-            word.append(c)
-            if "".join(word[-7:]).lower() == "_binary":
-                word = word[:-7]
-        at += 1
+                row = None
+        elif quoted is not None:
+            value = _ESCAPED.sub(_plain, quoted) if "\\" in quoted or "''" in quoted else quoted
+        else:
+            value = None if bare.strip().upper() == "NULL" else bare.strip()
 
 
 def read_sql_dump(spark: SparkSession, path: str, table: str, schema: str | None = None) -> DataFrame:

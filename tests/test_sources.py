@@ -14,7 +14,7 @@ from editlume.plans.jobs import page_logging, revision_history, sql_dumps
 from editlume.sources.files import find_dumps, listing_links, read_ip_ranges, read_summary, verify_md5
 from editlume.sources.sinks import append_result, create_tables, duplicate_keys, read_table, write_metrics_csv
 from editlume.sources.sql_dump import insert_tuples, read_sql_dump
-from editlume.sources.xml_dump import corrupt_records, history_tables, pages, read_namespaces, read_pages_raw, revisions
+from editlume.sources.xml_dump import corrupt_records, history_tables, pages, read_namespaces, read_pages_raw, read_revisions_raw, revisions
 
 XML = """<mediawiki>
   <siteinfo><namespaces><namespace key="0" case="first-letter" /><namespace key="1" case="first-letter">Talk</namespace></namespaces></siteinfo>
@@ -135,3 +135,28 @@ def test_config(tmp_path):
     (tmp_path / "c.ini").write_text("[base]\ndir = /d\n[job]\nlang = dewiki\ndumps_dir = ${base:dir}/x\ncompat_minor = yes\n")
     cfg = from_args(["--config", str(tmp_path / "c.ini"), "--lang", "frwiki"])
     assert (cfg.lang, cfg.dumps_dir, cfg.compat_minor, cfg.task) == ("frwiki", "/d/x", True, "history")
+
+
+def test_revisions_stream_by(spark, tmp_path):
+    """By the revision as by the page; pages without revisions; a cut end; a page of many revisions; 7z by a command."""
+    one = lambda k, n: "".join(f"<revision><id>{k * 1000 + i}</id><timestamp>2010-01-01T00:00:{i % 60:02d}Z</timestamp><contributor><ip>1.2.3.4</ip></contributor><text xml:space=\"preserve\">t &lt;page&gt; {k} {i} é</text></revision>" for i in range(n))
+    body = "<mediawiki>" + "".join(f"<page>\n<title>A &amp; B {k}</title><ns>0</ns><id>{k}</id>{one(k, n)}</page>" for k, n in ((1, 3), (2, 0), (3, 700), (4, 1)))
+    p = tmp_path / "h.xml"
+    p.write_text(body + "<page><title>cut</title><ns>0</ns><id>5</id><revision><id>9</id><text>lost", encoding="utf-8")
+    raw = read_revisions_raw(spark, str(p))
+    by_page = revisions(read_pages_raw(spark, str(p)), "enwiki").where("rev_page < 5")
+    assert sorted(map(str, revisions(raw, "enwiki").collect())) == sorted(map(str, by_page.collect()))
+    assert {(r.page_id, r.page_title) for r in pages(raw).collect()} == {(k, f"A & B {k}") for k in (1, 2, 3, 4)} | {(5, "cut")}
+    assert corrupt_records(raw).count() == 1
+    for suffix, pack in ((".xml.gz", gzip.compress), (".xml.bz2", bz2.compress), (".xml.xz", lzma.compress)):
+        (tmp_path / f"h{suffix}").write_bytes(pack(p.read_bytes()))
+        assert read_revisions_raw(spark, str(tmp_path / f"h{suffix}")).where("r.id is not null").count() == 704
+    (tmp_path / "h.7z").write_bytes(gzip.compress(p.read_bytes()))  # any command that writes the content will do
+    assert read_revisions_raw(spark, str(tmp_path / "h.7z"), ["gzip", "-dc", "--suffix=.7z"]).where("r.id is not null").count() == 704
+
+
+def test_7z_only_as_a_last_resort(tmp_path):
+    for name in ("x-pages-meta-history1.xml.7z", "x-pages-meta-history1.xml.bz2"):
+        (tmp_path / name).touch()
+        assert find_dumps(tmp_path, "history")[0].endswith(name[-3:])
+    assert find_dumps(tmp_path, "history", True)[0].endswith(".7z")
