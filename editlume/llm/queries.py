@@ -88,6 +88,18 @@ s AS (SELECT DISTINCT rev_id, unnest(list_transform(range(1, len(w) - 1), lambda
 c AS (SELECT rev_id, count(*) AS n FROM s GROUP BY rev_id),
 p AS (SELECT a.rev_id AS x, b.rev_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.rev_id < b.rev_id GROUP BY 1, 2)
 SELECT x AS rev_id_a, y AS rev_id_b FROM p JOIN c cx ON cx.rev_id = x JOIN c cy ON cy.rev_id = y WHERE 10 * k >= 6 * (cx.n + cy.n - k)""",
+    "p3_groups": """WITH RECURSIVE t AS (SELECT rev_id, max(text) AS text FROM revision WHERE rev_id IS NOT NULL AND text IS NOT NULL GROUP BY rev_id),
+w AS (SELECT rev_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM t),
+long AS (SELECT rev_id, w, count(*) OVER (PARTITION BY w) AS n_copies FROM w WHERE len(w) >= 20),
+s AS (SELECT DISTINCT rev_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM long),
+c AS (SELECT rev_id, count(*) AS n FROM s GROUP BY rev_id),
+p AS (SELECT a.rev_id AS x, b.rev_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.rev_id < b.rev_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN c cx ON cx.rev_id = x JOIN c cy ON cy.rev_id = y WHERE 10 * k >= 6 * (cx.n + cy.n - k)),
+both_ways AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+reach AS (SELECT rev_id AS x, rev_id AS y FROM long UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON b.x = r.y),
+least AS (SELECT x, min(y) AS group_id FROM reach GROUP BY x),
+h AS (SELECT rev_id, max(lower(rev_hash)) AS rev_hash FROM revision_hash GROUP BY rev_id)
+SELECT l.rev_id, group_id, n_copies, rev_hash FROM long l JOIN least ON least.x = l.rev_id LEFT JOIN h ON h.rev_id = l.rev_id""",
     "p7_found": """WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE text IS NOT NULL UNION ALL SELECT 'i', item_id, text FROM heldout_item WHERE text IS NOT NULL),
 w AS (SELECT kind, id, regexp_extract_all(lower(nfc_normalize(regexp_replace(text, '\\p{Cf}', '', 'g'))), '[\\p{L}\\p{N}]+') AS w FROM t),
 g3 AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g FROM w),
