@@ -24,7 +24,11 @@ UNIT_SECONDS = {
     "month": 2592000.0,
     "year": 31557600.0,
 }
-EXPIRY_FORMATS = ("yyyy-MM-dd HH:mm:ss", "d MMM yyyy HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "HH:mm, d MMMM yyyy", "d MMMM yyyy HH:mm:ss", "yyyyMMddHHmmss")
+EXPIRY_FORMATS = (
+    *[f"{day} {time}".strip() for day in ("yyyy-MM-dd", "d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy", "yyyy/M/d") for time in ("HH:mm:ss", "HH:mm", "")],
+    *[f"{time} {day}" for day in ("d MMM yyyy", "d MMMM yyyy", "MMMM d yyyy") for time in ("HH:mm:ss", "HH:mm")],
+    "yyyyMMddHHmmss", "yyyyMMdd",
+)
 
 
 def plain_label(label: Column) -> Column:
@@ -78,6 +82,24 @@ def block_target(title: Column) -> tuple[Column, Column]:
     return name, F.when(numeric, F.coalesce(ipv4_to_long(strip_octet_zeros(target)), F.lit(0).cast("long")))
 
 
+def expiry_time(text: Column) -> tuple[Column, Column]:
+    """(zone-less time, seconds its zone is ahead of UTC) of a written date; NULL if it has none of the forms.
+
+    A weekday, commas, fractions of seconds, GMT, UTC or Z are left out; an offset such as +02:00 is
+    the zone. The rest is a day and perhaps a time, in any order and notation of `EXPIRY_FORMATS`.
+    """
+    bare = F.regexp_replace(text, r"^[A-Za-z]{3,9}day,?\s+|^[A-Za-z]{3},\s*", "")
+    bare = F.regexp_replace(F.regexp_replace(bare, r"(\d)T(\d)", "$1 $2"), r"(:\d{2})\.\d+", "$1")
+    offset = r"(?<=\d{2}:\d{2})\s*([+-])(\d{2}):?(\d{2})$"
+    part = lambda k: F.coalesce(F.regexp_extract(bare, offset, k).try_cast("int"), F.lit(0))
+    sign = F.when(F.regexp_extract(bare, offset, 1) == "-", -1).otherwise(1)
+    plain = F.regexp_replace(F.regexp_replace(bare, offset, ""), r"\s*(?:GMT|UTC|Z)$", "")
+    plain = F.trim(F.regexp_replace(F.regexp_replace(plain, ",", " "), r"\s+", " "))
+    # within a lambda the text is worked out once, and the many forms make no code too long to compile
+    forms = F.transform(F.array(plain), lambda t: F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in EXPIRY_FORMATS]))
+    return F.get(forms, F.lit(0)).cast("timestamp_ntz"), sign * (part(2) * 3600 + part(3) * 60)
+
+
 def block_duration(params: Column, logged: Column) -> Column:
     """Seconds from `logged` to the end of a block, DECIMAL(15,1).
 
@@ -88,10 +110,8 @@ def block_duration(params: Column, logged: Column) -> Column:
     amount = F.regexp_extract(first, r"^(\d{1,9})\s*[a-z]", 1).try_cast("double")
     unit = F.regexp_extract(first, r"^\d{1,9}\s*(sec|min|h|d|week|fortnight|month|year)", 1)
     factor = F.try_element_at(F.create_map(*[F.lit(x) for k, v in UNIT_SECONDS.items() for x in (k, v)]), unit)
-    original = F.trim(F.get(F.split(params, "\n"), F.lit(0)))
-    stamp = F.regexp_replace(F.regexp_replace(original, r"^[A-Za-z]{3},\s*", ""), r"\s*(?:GMT|UTC|Z)$", "")
-    expiry = F.coalesce(*[F.try_to_timestamp(stamp, F.lit(f)).cast("timestamp_ntz") for f in EXPIRY_FORMATS])
-    left = F.timestamp_diff("SECOND", logged, expiry).cast("double")
+    expiry, ahead = expiry_time(F.trim(F.get(F.split(params, "\n"), F.lit(0))))
+    left = F.timestamp_diff("SECOND", logged, expiry).cast("double") - ahead
     seconds = (
         F.when(first.rlike("^(?:infinite|indefinite|infinity)"), F.lit(FOREVER))
         .when(factor.isNotNull() & amount.isNotNull(), F.least(amount * factor, F.lit(FOREVER)))

@@ -375,7 +375,7 @@ def _weeks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {_REV}, {_BOTS}, {_WEEKS} SELECT week, (year(week) * 100 + (dayofyear(week) - 1) // 7 + 1)::BIGINT AS year_week, new_editors FROM weeks""")
 def new_editors_weekly(spark: SparkSession, sf: str) -> DataFrame:
-    return _weeks(spark, sf)
+    return _weeks(spark, sf).orderBy("week")
 
 
 @query(f"""WITH {_REV}, {_BOTS}, {_WEEKS} SELECT week, new_editors, round(CASE WHEN count(*) OVER w = 12 THEN avg(new_editors) OVER w END, 6) AS moving_mean
@@ -404,7 +404,7 @@ def _log_months(spark: SparkSession, sf: str) -> DataFrame:
 g AS (SELECT log_type, unnest(generate_series(min(month)::TIMESTAMP, max(month)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month FROM m GROUP BY log_type)
 SELECT log_type, month, year(month)::INT AS year, month(month)::INT AS month_no, coalesce(n, 0) AS n FROM g LEFT JOIN m USING (log_type, month)""")
 def log_actions_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    return _log_months(spark, sf).select("log_type", "month", F.year("month").alias("year"), F.month("month").alias("month_no"), "n")
+    return _log_months(spark, sf).select("log_type", "month", F.year("month").alias("year"), F.month("month").alias("month_no"), "n").orderBy("log_type", "month")
 
 
 @query()

@@ -32,6 +32,7 @@ def build_session(master: str | None = None, app: str = "editlume", **conf: str)
 
 _shipped: set[str] = set()
 _local_roots: dict[str, str] = {}
+_scratch: dict[str, set[str]] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -77,6 +78,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._editlume_path = path  # type: ignore[attr-defined]
+    _scratch.setdefault(spark.sparkContext.applicationId, set()).add(path)
     return out
 
 
@@ -95,12 +97,25 @@ def transient_shuffles(spark: SparkSession) -> Iterator[None]:
 def drop_materialized(df: DataFrame | None) -> None:
     """Delete the table behind a frame returned by `materialize`; other frames are left alone."""
     path = getattr(df, "_editlume_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    if path is not None:
+        _delete(df.sparkSession, path)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete all tables `materialize` has written in this application and that still stand; returns how many.
+
+    For when the results made so far have been consumed: frames that read these tables end to work.
+    """
+    paths = list(_scratch.get(spark.sparkContext.applicationId, ()))
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _scratch.get(spark.sparkContext.applicationId, set()).discard(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from editlume.session import release_scratch, scratch_root
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -43,6 +44,9 @@ def test_query_equals_sql(spark, db, name):
     df = entry.queries()[name](spark, SF)
     cols = sorted(df.columns)
     got = sorted(tuple(canon(r[c]) for c in cols) for r in df.collect())
+    release_scratch(spark)
+    left = os.path.join(scratch_root(spark).removeprefix("file://"), "editlume")
+    assert not os.path.isdir(left) or not os.listdir(left)
     res = db.execute(entry.oracle_sql()[name])
     names = [d[0] for d in res.description]
     assert sorted(names) == cols

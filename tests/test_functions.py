@@ -113,3 +113,16 @@ def test_text_helpers(spark):
     assert one(spark, ['<a href="x.gz">', None], hrefs) == [["x.gz"], None]
     weeks = [datetime(2012, 1, 1), datetime(2012, 1, 2), datetime(2012, 12, 31)]
     assert one(spark, weeks, year_week, "timestamp_ntz") == [201152, 201201, 201253]
+
+
+def test_expiry_dates(spark):
+    """The same moment in many notations; what is no date has none."""
+    same = [
+        "Wed, 22 Jan 2014 10:14:10 GMT", "2014-01-22T10:14:10Z", "2014-01-22 10:14:10", "2014-01-22T12:14:10+02:00", "22 January 2014 05:14:10 -0500", "10:14:10, 22 January 2014",
+        "January 22, 2014 10:14:10", "20140122101410", "2014-01-22T10:14:10.250Z", "Wednesday, 22 Jan 2014 10:14:10 UTC", "Tue, 21 Jan 2014 23:14:10 -1100",
+    ]
+    other = {"2014-01-22 10:14": 86390, "22 Jan 2014": 49550, "2014-01-22": 49550, "10:14, 22 January 2014": 86390, "next week some day": 0, "": 0, "2014-13-45": 0}
+    rows = [(t, 86400) for t in same] + list(other.items())
+    df = spark.createDataFrame(rows, "t string, want long").withColumn("at", F.lit("2014-01-21 10:14:10").cast("timestamp_ntz"))
+    got = df.select("t", "want", L.block_duration(F.col("t"), F.col("at")).alias("d")).collect()
+    assert [(r.t, float(r.d)) for r in got] == [(r.t, float(r.want)) for r in got]
