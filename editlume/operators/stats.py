@@ -110,28 +110,36 @@ def merge_series(df: DataFrame, time: str, name: str, value: str, names: Sequenc
     return df.groupBy(time).pivot(name, list(names)).agg(F.first(value))
 
 
-def lowess_fit(x: np.ndarray, y: np.ndarray, span: float = 2 / 3, rounds: int = 3) -> np.ndarray:
-    """Locally weighted straight lines (tricube weights over the nearest `span` of the points), `rounds` robust reweightings."""
+def _local_lines(x: np.ndarray, y: np.ndarray, at: slice, k: int, robust: np.ndarray) -> np.ndarray:
+    """The local fits at the points `at`: tricube weights over the k nearest points of all, times the `robust` ones."""
+    gap = np.abs(x[at, None] - x[None, :])
+    reach = np.partition(gap, k - 1, axis=1)[:, k - 1]
+    near = np.where(reach[:, None] > 0, gap / np.where(reach > 0, reach, 1)[:, None], np.where(gap > 0, 2.0, 0.0))
+    w = np.where(near < 1, (1 - near**3) ** 3, 0.0)
+    w[near <= 0.001] = 1.0
+    w[near >= 0.999] = 0.0
+    w = w * robust
+    sw = w.sum(axis=1)
+    mx, my = (w @ x) / sw, (w @ y) / sw
+    dx = x[None, :] - mx[:, None]
+    var = (w * dx**2).sum(axis=1) / sw
+    slope = np.where(np.sqrt(var) > 0.001 * (x.max() - x.min()), (w * dx * y[None, :]).sum(axis=1) / sw / np.where(var > 0, var, 1), 0.0)
+    return my + slope * (x[at] - mx)
+
+
+def lowess_fit(x: np.ndarray, y: np.ndarray, span: float = 2 / 3, rounds: int = 3, cells: int = 1_000_000) -> np.ndarray:
+    """Locally weighted straight lines (tricube weights over the nearest `span` of the points), `rounds` robust reweightings.
+
+    Points are fitted in blocks, so that at most about `cells` weights are held at once.
+    """
     n = len(x)
     if n < 3:
         return y.astype(float)
     k = max(2, min(n, int(span * n + 1e-10)))
-    gap = np.abs(x[:, None] - x[None, :])
-    reach = np.sort(gap, axis=1)[:, k - 1]
-    near = np.where(reach[:, None] > 0, gap / np.where(reach > 0, reach, 1)[:, None], np.where(gap > 0, 2.0, 0.0))
-    tri = np.where(near < 1, (1 - near**3) ** 3, 0.0)
-    tri[near <= 0.001] = 1.0
-    tri[near >= 0.999] = 0.0
+    block = max(1, cells // n)
     robust = np.ones(n)
-    fit = y.astype(float)
     for it in range(rounds + 1):
-        w = tri * robust
-        sw = w.sum(axis=1)
-        mx, my = (w @ x) / sw, (w @ y) / sw
-        dx = x[None, :] - mx[:, None]
-        var = (w * dx**2).sum(axis=1) / sw
-        slope = np.where(np.sqrt(var) > 0.001 * (x.max() - x.min()), (w * dx * y[None, :]).sum(axis=1) / sw / np.where(var > 0, var, 1), 0.0)
-        fit = my + slope * (x - mx)
+        fit = np.concatenate([_local_lines(x, y, slice(i, i + block), k, robust) for i in range(0, n, block)])
         if it == rounds:
             break
         res = np.abs(y - fit)

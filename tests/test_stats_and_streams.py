@@ -63,6 +63,13 @@ def test_stl_recovers_parts():
     assert np.abs(s - season)[12:-12].max() < 0.2 and np.abs(t - trend)[12:-12].max() < 0.2 and np.abs(s + t + r - season - trend).max() < 1e-9
 
 
+def test_lowess_in_blocks():
+    rnd = np.random.default_rng(4)
+    x = np.sort(rnd.integers(0, 60, 150)).astype(float)  # with ties
+    y = np.sin(x / 9) + rnd.normal(0, 0.2, 150)
+    assert np.allclose(stats.lowess_fit(x, y), stats.lowess_fit(x, y, cells=700), rtol=1e-10)
+
+
 def test_lowess_resists_outliers(spark):
     x = np.arange(40.0)
     y = 2 * x + 1
