@@ -6,8 +6,14 @@ agree exactly. The field is a 23-bit word with a bit for each of the six words a
 edit of one of them changes two bits at most. Decoding the field to the nearby code words of the
 Golay code gives one or six indices; two fields up to two bits apart have one in common. So a segment
 is free of error if the anchor agrees and the field differs by no more than one edited word, and by
-the pigeonhole two texts meet if one of their segments is. Pairs that meet are compared: by sizes,
-by set parities (which drop none that can reach the threshold), then on the whole sets.
+the pigeonhole two texts meet if one of their segments is. Where an anchor has `FEW` texts or less,
+their fields are compared without decoding, which gives the same pairs from a sixth of the rows. Pairs
+that meet are compared: by sizes and set parities (which drop none that can reach the threshold),
+folded to 128 bits where they meet and whole after that, then on the whole sets.
+
+Parts. Segments are dealt by their anchors, and prefixes by their members, into up to `PARTS` parts.
+One part after another is shuffled, and only the pairs left over by the folded parities are kept:
+pairs that meet by chance grow faster than the input, and never stand on disk.
 
 Rarer sequences. Sequences are ordered by how often the corpus has them (`count_sketch`), and a
 text's anchors come from the `RARE` first of its own. Two sets that share the part t of their union
@@ -28,6 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +50,10 @@ SLOTS = 16
 CONTEXT = 3
 RARE = 0.7
 CROWD = 128
+FEW = 32
+#: Segments or prefix members in a part, until there are PARTS of them.
+PART_ROWS = 4_000_000
+PARTS = 6
 #: Counters of the sketch, as a power of two: from the size of the input within these. Fewer make the order of
 #: sequences coarser, and so crowd more keys; results stay.
 SKETCH_BITS = (22, 26)
@@ -50,6 +61,8 @@ SKETCH_BITS = (22, 26)
 FILTER_IDS = 1 << 23
 PARITY_LONGS = 8
 PARITY = [f"p{k}" for k in range(PARITY_LONGS)]
+FOLD_LONGS = 2
+FOLD = [f"q{k}" for k in range(FOLD_LONGS)]  # the parities with their longs added up: fits beside each key
 _BLOCK_BITS = 14
 _LEVEL, _HASH = 6, 48  # bits of a sequence's place in the order: level of its count, then hash
 
@@ -216,18 +229,25 @@ def fingerprints(rows: DataFrame, shingle: int, min_words: int, sketch: Broadcas
     return rows.mapInArrow(run, "id long, c1 long, c2 long, segments binary, n int, " + ", ".join(f"{p} long" for p in PARITY))
 
 
-def segments_of(folded: DataFrame) -> DataFrame:
-    """(anchor, field, rep, n): one row per segment of the classes (rep, n, segments)."""
+def n_parts(rows: int) -> int:
+    return min(max(-(-rows // PART_ROWS), 1), PARTS)
+
+
+def segments_of(folded: DataFrame, part: int, parts: int) -> DataFrame:
+    """(anchor, field, rep, n, q0, q1): one row per segment of the classes (rep, n, segments, parities) whose anchor is in the part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, 12 * SLOTS)
+            raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, 12 * SLOTS)
             anchors = np.ascontiguousarray(raw[:, : 8 * SLOTS]).view(np.int64).reshape(-1)
             fields = np.ascontiguousarray(raw[:, 8 * SLOTS :]).view(np.int32).reshape(-1)
-            own = pa.array(np.repeat(np.arange(batch.num_rows), SLOTS))
-            yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(fields), batch.column(0).take(own), batch.column(1).take(own)], names=["anchor", "field", "rep", "n"])
+            at = np.flatnonzero((anchors.view(U) >> U(7)) % U(parts) == U(part))
+            own = pa.array(at // SLOTS)
+            yield pa.RecordBatch.from_arrays([pa.array(anchors[at]), pa.array(fields[at]), *[c.take(own) for c in batch.columns[1:]]], names=["anchor", "field", "rep", "n", *FOLD])
 
-    return folded.where("segments is not null").select("rep", "n", "segments").mapInArrow(run, "anchor long, field int, rep long, n int")
+    fold = [reduce(Column.bitwiseXOR, map(F.col, PARITY[k::FOLD_LONGS])).alias(q) for k, q in enumerate(FOLD)]
+    rows = folded.where("segments is not null").select("segments", "rep", "n", *fold)
+    return rows.mapInArrow(run, "anchor long, field int, rep long, n int, " + ", ".join(f"{q} long" for q in FOLD))
 
 
 def fuzzy_keys(met: DataFrame, crowded: Broadcast | None, within: bool = False) -> DataFrame:
@@ -249,19 +269,34 @@ def fuzzy_keys(met: DataFrame, crowded: Broadcast | None, within: bool = False)
     return met.select(*cols).mapInArrow(run, "key long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own))
 
 
+def meeting_keys(met: DataFrame, crowded: Broadcast | None) -> DataFrame:
+    """(key, ...) of the segments (anchor, field, ..., few, many): the anchor itself where few have it, else the keys of `fuzzy_keys` that are not crowded."""
+    cols = [c for c in met.columns if c not in ("few", "many")]
+    few = met.where("few").select(F.col("anchor").alias("key"), *[c for c in cols if c != "anchor"])
+    # no key of these can be crowded, but some would pass for it
+    some = fuzzy_keys(met.where("not few and not many").select(*cols), None)
+    return few.unionByName(some).unionByName(fuzzy_keys(met.where("many").select(*cols), crowded))
+
+
 def _similar_size(na: Column, nb: Column, threshold: float) -> Column:
     return F.least(na, nb) >= threshold * F.greatest(na, nb) - 1e-9
 
 
+def _may_reach(na: Column, nb: Column, threshold: float, parities: list[str], a: str = "a", b: str = "b") -> Column:
+    """Whether the sets can share `threshold` of their union: they then differ in at most (1 - t) / (1 + t) of the sum of their sizes, and parities in no more bits."""
+    differ = reduce(Column.__add__, [F.bit_count(F.col(p + a).bitwiseXOR(F.col(p + b))) for p in parities])
+    return differ <= (na + nb) * ((1 - threshold) / (1 + threshold)) + 1e-9
+
+
 def meeting(keys: DataFrame, threshold: float, label: bool = False) -> DataFrame:
-    """Pairs (a, b), a < b, of classes with a key in common, fields within two bits, and sizes that allow the threshold; of different labels, if `label`."""
-    cols = ["rep", "_f", *["label"] * label]
+    """Pairs (a, b), a < b, of classes with a key in common, fields within two bits, and sizes and parities that allow the threshold; of different labels, if `label`."""
+    cols = ["rep", "_f", *FOLD, *["label"] * label]
     packed = keys.withColumn("_f", F.shiftleft(F.col("n").cast("long"), golay.N_BITS).bitwiseOR(F.col("field")))  # the shuffle's rows are narrower so
     left, right = (packed.select("key", *[F.col(c).alias(c + x) for c in cols]) for x in "ab")
     field = lambda c: F.col(c).bitwiseAND(F.lit((1 << golay.N_BITS) - 1))
     near = F.bit_count(field("_fa").bitwiseXOR(field("_fb"))) <= golay.TOLERANCE
-    similar = _similar_size(F.shiftright("_fa", golay.N_BITS), F.shiftright("_fb", golay.N_BITS), threshold)
-    met = left.join(right, "key").where((F.col("repa") < F.col("repb")) & near & similar)
+    na, nb = (F.shiftright(c, golay.N_BITS) for c in ("_fa", "_fb"))
+    met = left.join(right, "key").where((F.col("repa") < F.col("repb")) & near & _similar_size(na, nb, threshold) & _may_reach(na, nb, threshold, FOLD))
     if label:
         met = met.where("labela <> labelb")
     return met.select(F.col("repa").alias("a"), F.col("repb").alias("b")).distinct()
@@ -283,32 +318,39 @@ def shingle_sets(rows: DataFrame, shingle: int, wanted: Broadcast | None) -> Dat
 
 
 def prefixes(rows: DataFrame, shingle: int, threshold: float, wanted: Broadcast | None, sketch: Broadcast) -> DataFrame:
-    """(rep, n, tokens, places) of each row (id, text) whose id is `wanted`.
+    """(id, n, q0, q1, tokens, places) of each row (id, text) whose id is `wanted`.
 
-    n is the size of its set, tokens 32 bits of the members of its prefix, rarest first, and places their
+    n is the size of its set, q0 and q1 its folded parities, tokens 32 bits of the members of its prefix, rarest first, and places their
     places in the order of the whole set. Members the sketch has counted once are no other text's and left out.
     """
 
+    bits = FOLD_LONGS * 64
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(_passing_rows(batch, wanted), 1):
                 h, doc, _ = shingles(words(to_batch(piece.column(1).to_pylist())), shingle)
                 _, h, doc = _ordered(h, doc, sketch.value)
                 n = np.bincount(doc, minlength=piece.num_rows)
+                odd = np.bincount(doc * bits + (h % U(bits)).astype(np.int64), minlength=piece.num_rows * bits).astype(np.uint8) & 1
+                fold = np.packbits(odd.reshape(piece.num_rows, bits), axis=1).view(np.int64)
                 place = np.arange(len(h)) - (np.cumsum(n) - n)[doc]
                 keep = (place <= (n - np.ceil(threshold * n - 1e-9))[doc]) & (h >= U(1 << _HASH))
                 offsets = pa.array(np.searchsorted(doc[keep], np.arange(piece.num_rows + 1), side="left").astype(np.int32))
                 tokens, places = pa.array(h[keep].astype(np.uint32).view(np.int32)), pa.array(place[keep].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(n.astype(np.int32)), pa.ListArray.from_arrays(offsets, tokens), pa.ListArray.from_arrays(offsets, places)],
-                    names=["id", "n", "tokens", "places"],
-                )
+                    [
+                        piece.column(0), pa.array(n.astype(np.int32)), *[pa.array(np.ascontiguousarray(fold[:, k])) for k in range(FOLD_LONGS)],
+                        pa.ListArray.from_arrays(offsets, tokens), pa.ListArray.from_arrays(offsets, places),
+                    ],
+                    names=["id", "n", *FOLD, "tokens", "places"],
+                )
 
-    return rows.mapInArrow(run, "id long, n int, tokens array<int>, places array<int>")
+    return rows.mapInArrow(run, f"id long, n int, {', '.join(f'{q} long' for q in FOLD)}, tokens array<int>, places array<int>")
 
 
-def crowd_pairs(crowd: "Prefixes", label: DataFrame | None = None) -> DataFrame:
-    """All pairs (a, b), a < b, of the crowd that can reach the threshold by their prefixes; of different labels (rep, label), if given.
+def crowd_pairs(crowd: "Prefixes", part: int, parts: int, label: DataFrame | None = None) -> DataFrame:
+    """All pairs (a, b), a < b, of the crowd that can reach the threshold by the part of their prefixes' members; of different labels (rep, label), if given.
 
     The first member two prefixes have in common bounds what the sets share to what follows it. A
     common token that comes right after a common one makes no row: the one before has made it.
@@ -316,10 +358,12 @@ def crowd_pairs(crowd: "Prefixes", label: DataFrame | None = None) -> DataFrame:
     most frequent label are compared with all.
     """
     before = F.concat(F.array(F.lit(None).cast("int")), "tokens")
-    texts, cols = crowd.texts, ["rep", "n", "places", "before"]
+    texts, cols = crowd.texts, ["rep", "n", *FOLD, "places", "before"]
     if label is not None:
         texts, cols = texts.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep")), [*cols, "label"]
-    entries = texts.where("size(tokens) > 0").select("rep", "n", *cols[4:], F.inline(F.arrays_zip("tokens", "places", before.alias("before")))).where("tokens is not null")
+    own = [c for c in cols if c not in ("places", "before")]
+    entries = texts.where("size(tokens) > 0").select(*own, F.inline(F.arrays_zip("tokens", "places", before.alias("before")))).where("tokens is not null")
+    entries = entries.where(F.pmod("tokens", F.lit(parts)) == part)
     one = entries
     if label is not None:
         most = entries.groupBy("tokens", "label").agg(F.count("*").alias("_n")).groupBy("tokens").agg(F.max_by("label", F.struct("_n", "label")).alias("_most"), F.count("*").alias("_labels"))
@@ -329,16 +373,17 @@ def crowd_pairs(crowd: "Prefixes", label: DataFrame | None = None) -> DataFrame:
     rest = F.least(F.col("na") - F.col("placesa"), F.col("nb") - F.col("placesb"))
     enough = rest >= (F.col("na") + F.col("nb")) * (crowd.threshold / (1 + crowd.threshold)) - 1e-9
     first = F.coalesce(F.col("beforea") != F.col("beforeb"), F.lit(True))
-    met = a.join(b, "tokens").where((F.col("repa") < F.col("repb") if label is None else F.col("labela") != F.col("labelb")) & enough & first)
-    return met.select(F.least("repa", "repb").alias("a"), F.greatest("repa", "repb").alias("b"))
+    met = a.join(b, "tokens").where((F.col("repa") < F.col("repb") if label is None else F.col("labela") != F.col("labelb")) & enough & first & _may_reach(F.col("na"), F.col("nb"), crowd.threshold, FOLD))
+    return met.select(F.least("repa", "repb").alias("a"), F.greatest("repa", "repb").alias("b")).distinct()
 
 
 @dataclass
 class Prefixes:
-    """The prefixes (rep, n, tokens, places) of the classes with a crowded key."""
+    """The prefixes (rep, n, q0, q1, tokens, places) of the classes with a crowded key."""
 
     texts: DataFrame
     threshold: float
+    parts: int
 
 
 @dataclass
@@ -348,12 +393,40 @@ class Meeting:
     rows: DataFrame  # (id, text): id stands for one text only
     members: DataFrame  # (id, rep, n_copies)
     sizes: DataFrame  # (rep, n, parities)
-    met: DataFrame  # (anchor, field, rep, n): segments whose anchor another class has
+    met: list[DataFrame]  # by part, (anchor, field, rep, n, q0, q1, few, many): segments whose anchor another class has
     crowded: Broadcast | None  # keys of more than CROWD classes
     crowd: Prefixes | None  # the classes with one
     shingle: int
     threshold: float
 
+    def pairs(self, label: DataFrame | None = None) -> DataFrame:
+        """A table of the pairs (a, b), a < b, of classes that meet and may reach the threshold; of different labels (rep, label), if given."""
+        tables = []
+        for met in self.met:
+            if label is not None:
+                met = met.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+            tables.append(materialize(meeting(meeting_keys(met, self.crowded), self.threshold, label is not None), "fuzzy-pairs"))
+        for part in range(self.crowd.parts if self.crowd else 0):
+            tables.append(materialize(crowd_pairs(self.crowd, part, self.crowd.parts, label), "crowd-pairs"))
+        return _all(tables, "met-pairs")
+
+    def stars(self) -> DataFrame:
+        """A table of the pairs (a, b) of each key's least class and another one that may reach the threshold."""
+        tables = []
+        for met in self.met:
+            keys = meeting_keys(met, None).select("key", F.struct("rep", "n", *FOLD).alias("_c"))
+            centre = keys.groupBy("key").agg(F.min("_c").alias("_a"), F.max("_c.rep").alias("_b")).where("_a.rep <> _b").select("key", "_a")
+            star = keys.join(centre, "key").where("_c.rep <> _a.rep")
+            star = star.select(*[F.col(f"{side}.{c}").alias(c + x) for side, x in (("_a", "a"), ("_c", "b")) for c in ("rep", "n", *FOLD)])
+            star = star.where(_may_reach(F.col("na"), F.col("nb"), self.threshold, FOLD))
+            tables.append(materialize(star.select(F.col("repa").alias("a"), F.col("repb").alias("b")).distinct(), "star-pairs"))
+        return _all(tables, "stars")
+
+    def drop(self) -> None:
+        """Delete the tables that only `pairs` and `stars` read."""
+        for table in (*self.met, *([self.crowd.texts] if self.crowd else [])):
+            drop_materialized(table)
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """(a, b, similarity) of the pairs that reach the threshold, by their whole sets."""
         likely = materialize(possible_pairs(pairs, self.sizes, self.threshold), "candidates")
@@ -365,6 +438,16 @@ class Meeting:
         return similar.where(F.col("similarity") >= self.threshold)
 
 
+def _all(tables: list[DataFrame], name: str) -> DataFrame:
+    """One table of the distinct rows of all, which are removed."""
+    if len(tables) == 1:
+        return tables[0]
+    out = materialize(reduce(DataFrame.unionByName, tables).distinct(), name)
+    for table in tables:
+        drop_materialized(table)
+    return out
+
+
 def _args(rows: DataFrame, wanted: DataFrame, shingle: int) -> tuple[DataFrame, int, Broadcast | None]:
     part, bits = only(rows, wanted)
     return part, shingle, bits
@@ -373,15 +456,11 @@ def _args(rows: DataFrame, wanted: DataFrame, shingle: int) -> tuple[DataFrame,
 def possible_pairs(pairs: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) that can still reach the threshold, judged without their sets.
 
-    Sets that share `threshold` of their union differ in at most (1 - t) / (1 + t) of the sum of
-    their sizes, and the parities of two sets differ in no more bits than the sets in members: no
-    pair is lost. The parities take a tenth of the room of the sets.
+    No pair is lost. The parities take a tenth of the room of the sets.
     """
     a = sizes.select(F.col("rep").alias("a"), F.col("n").alias("na"), *[F.col(p).alias(p + "a") for p in PARITY])
     b = sizes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), *[F.col(p).alias(p + "b") for p in PARITY])
-    differ = sum((F.bit_count(F.col(p + "a").bitwiseXOR(F.col(p + "b"))) for p in PARITY), F.lit(0))
-    bound = (F.col("na") + F.col("nb")) * ((1 - threshold) / (1 + threshold)) + 1e-9
-    return pairs.join(a, "a").join(b, "b").where(differ <= bound).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(_may_reach(F.col("na"), F.col("nb"), threshold, PARITY)).select("a", "b")
 
 
 def _one_text_an_id(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame | None, int]:
@@ -414,24 +493,35 @@ def meet(docs: DataFrame, doc_id: str, text: str, shingle: int, threshold: float
         members = docs_of.join(docs_of.groupBy("rep").agg(F.count("*").alias("n_copies")), "rep").select("id", "rep", "n_copies")
     members = materialize(members, "members")
     drop_materialized(prints)
-    segments = segments_of(folded)
-    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n"), F.bit_xor("field").alias("_x"), F.min("n").alias("_lo"), F.max("n").alias("_hi")).where("_n > 1")
-    # an anchor of two texts whose fields or sizes are too far apart brings nobody together
-    shared = shared.where((F.col("_n") > 2) | (F.bit_count("_x") <= golay.TOLERANCE) & _similar_size(F.col("_lo"), F.col("_hi"), threshold))
-    met = materialize(segments.join(shared, "anchor").select("anchor", "field", "rep", "n", (F.col("_n") > CROWD).alias("many")), "met-segments")
+    parts = n_parts(folded.count() * SLOTS)
+    met = [materialize(_met(segments_of(folded, k, parts), threshold), "met-segments") for k in range(parts)]
     sizes = materialize(folded.select("rep", "n", *PARITY), "set-sizes")
     drop_materialized(folded)
-    keys = fuzzy_keys(met.where("many").select("anchor", "field"), None).select(F.col("key").alias("id"))
-    crowding = materialize(keys.groupBy("id").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select("id"), "crowded-keys")
-    n = crowding.count()
+    crowding = []
+    for part in met:
+        keys = fuzzy_keys(part.where("many").select("anchor", "field"), None).select(F.col("key").alias("id"))
+        crowding.append(materialize(keys.groupBy("id").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select("id"), "crowded-keys"))
+    keys = reduce(DataFrame.unionByName, crowding)
+    n = keys.count()
     crowded = crowd = None
     if n:
-        crowded = spark.sparkContext.broadcast(id_filter(crowding, n))
-        ids = materialize(fuzzy_keys(met.where("many").select("anchor", "field", "rep"), crowded, True).select(F.col("rep").alias("id")).distinct(), "crowd")
+        crowded = spark.sparkContext.broadcast(id_filter(keys, n))
+        many = reduce(DataFrame.unionByName, met).where("many").select("anchor", "field", "rep")
+        ids = materialize(fuzzy_keys(many, crowded, True).select(F.col("rep").alias("id")).distinct(), "crowd")
         part, wanted = only(rows, ids)
         texts = prefixes(part, shingle, threshold, wanted, sketch).join(ids, "id", "left_semi").dropDuplicates(["id"]).withColumnRenamed("id", "rep")
-        crowd = Prefixes(materialize(texts, "prefixes"), threshold)
-    return Meeting(rows, members, sizes, met.drop("many"), crowded, crowd, shingle, threshold)
+        texts = materialize(texts, "prefixes")
+        members_of = texts.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
+        crowd = Prefixes(texts, threshold, n_parts(members_of))
+    return Meeting(rows, members, sizes, met, crowded, crowd, shingle, threshold)
+
+
+def _met(segments: DataFrame, threshold: float) -> DataFrame:
+    """The segments whose anchor another class has, with `few` and `many` by how many have it."""
+    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n"), F.bit_xor("field").alias("_x"), F.min("n").alias("_lo"), F.max("n").alias("_hi")).where("_n > 1")
+    # an anchor of two texts whose fields or sizes are too far apart brings nobody together
+    shared = shared.where((F.col("_n") > 2) | (F.bit_count("_x") <= golay.TOLERANCE) & _similar_size(F.col("_lo"), F.col("_hi"), threshold))
+    return segments.join(shared, "anchor").select("anchor", "field", "rep", "n", *FOLD, (F.col("_n") <= FEW).alias("few"), (F.col("_n") > CROWD).alias("many"))
 
 
 def near_duplicate_classes(
@@ -450,10 +540,12 @@ def near_duplicate_classes(
     gives two empty frames.
     """
     m = meet(docs, doc_id, text, shingle, threshold, min_words)
-    pairs = meeting(fuzzy_keys(m.met, m.crowded), threshold)
-    if m.crowd is not None:
-        pairs = materialize(pairs, "fuzzy-pairs").unionByName(crowd_pairs(m.crowd)).distinct()
-    return m.members, m.links(materialize(pairs, "met-pairs"))
+    pairs = m.pairs()
+    m.drop()
+    links = m.links(pairs)
+    drop_materialized(pairs)
+    drop_materialized(m.sizes)
+    return m.members, links
 
 
 def expand_pairs(members: DataFrame, links: DataFrame, block: int = 256) -> DataFrame:
@@ -510,15 +602,14 @@ def near_duplicate_groups(
     that joins two groups is missed. Inputs as there; an id with differing texts has a row for each of its groups.
     """
     m = meet(docs, doc_id, text, shingle, threshold, min_words)
-    keys = fuzzy_keys(m.met.select("anchor", "field", "rep"), None).select("key", "rep")
-    centre = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("_b")).where("a <> _b").select("key", "a")
-    star = keys.join(centre, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    near = materialize(m.links(materialize(star, "stars")), "star-links")
+    stars = m.stars()
+    near = materialize(m.links(stars), "star-links")
+    drop_materialized(stars)
     label = components(near)
-    cross = meeting(fuzzy_keys(m.met.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep")), m.crowded), threshold, True)
-    if m.crowd is not None:
-        cross = materialize(cross, "fuzzy-pairs").unionByName(crowd_pairs(m.crowd, label)).distinct()
-    more = materialize(m.links(materialize(cross, "met-pairs")), "cross-links")
+    cross = m.pairs(label)
+    m.drop()
+    more = materialize(m.links(cross), "cross-links")
+    drop_materialized(cross)
     label = label if more.isEmpty() else components(near.select("a", "b").unionByName(more.select("a", "b")))
     linked = m.members.join(label, "rep").groupBy("label").agg(F.min("id").alias("_least"))
     of = label.join(linked, "label").select("rep", "_least")

@@ -164,6 +164,26 @@ def test_filter_of_many_ids(spark, monkeypatch):
     assert {(r.a, r.b) for r in expand_pairs(m, links).collect()} == want
 
 
+def test_chance_pairs_are_not_stored(spark, monkeypatch):
+    """Texts that share a third of their sequences meet, by keys and by prefixes, but only pairs that may be links are written."""
+    stored, real = [], near_dups.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        if out.columns == ["a", "b"]:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dups, "materialize", counted)
+    monkeypatch.setattr(near_dups, "PART_ROWS", 1500, raising=False)
+    rows = [(k, " ".join([f"o{k}x{j}" for j in range(20)] + [f"s{j}" for j in range(20)])) for k in range(160)]
+    rows += [(1000 + k, " ".join([f"t{k}x{j}" for j in range(20)] + [f"g{k // 10}s{j}" for j in range(20)])) for k in range(60)]
+    rows += [(i + 5000, t + " tail") for i, t in rows[-6:]]
+    m, links = near_duplicate_classes(frame(spark, rows), "rev_id", "text", 3, 0.6, 20)
+    assert {(r.a, r.b) for r in links.collect()} == brute(rows, 3, 0.6, 20) == {(1054 + k, 6054 + k) for k in range(6)}
+    assert stored and max(stored) < 1000, stored  # 9,794 before
+
+
 def test_empty(spark):
     m, links = near_duplicate_classes(frame(spark, []), "rev_id", "text")
     assert m.count() == 0 and links.count() == 0 and expand_pairs(m, links).count() == 0
