@@ -6,14 +6,18 @@ agree exactly. The field is a 23-bit word with a bit for each of the six words a
 edit of one of them changes two bits at most. Decoding the field to the nearby code words of the
 Golay code gives one or six indices; two fields up to two bits apart have one in common. So a segment
 is free of error if the anchor agrees and the field differs by no more than one edited word, and by
-the pigeonhole two texts meet if one of their segments is. Where an anchor has `FEW` texts or less,
-their fields are compared without decoding, which gives the same pairs from a sixth of the rows. Pairs
-that meet are compared: by sizes and set parities (which drop none that can reach the threshold),
-folded to 128 bits where they meet and whole after that, then on the whole sets.
+the pigeonhole two texts meet if one of their segments is. Pairs that meet are compared: by sizes and
+set parities (which drop none that can reach the threshold), folded to 128 bits where they meet and
+whole after that, then on the whole sets.
 
-Parts. Segments are dealt by their anchors, and prefixes by their members, into up to `PARTS` parts.
-One part after another is shuffled, and only the pairs left over by the folded parities are kept:
-pairs that meet by chance grow faster than the input, and never stand on disk.
+Shuffle. A segment is one row, shuffled by its anchor; the task that has an anchor's texts decodes
+their fields and compares them (`FEW` texts or less without decoding, which gives the same pairs).
+Only anchors that may have more texts than a task holds, by the corpus count of their sequence
+(`LOCAL_LEVEL`), are decoded first and shuffled by anchor and index.
+
+Parts. Classes are folded by their hashes, segments dealt by their anchors, and prefixes by their
+members, in up to `PARTS` parts. One part after another is shuffled, and only the pairs left over by the
+folded parities are kept: pairs that meet by chance grow faster than the input, and never stand on disk.
 
 Rarer sequences. Sequences are ordered by how often the corpus has them (`count_sketch`), and a
 text's anchors come from the `RARE` first of its own. Two sets that share the part t of their union
@@ -51,7 +55,9 @@ CONTEXT = 3
 RARE = 0.7
 CROWD = 128
 FEW = 32
-#: Segments or prefix members in a part, until there are PARTS of them.
+#: Sequences the corpus has less often than 2 ** (LOCAL_LEVEL / 2) times: the texts with such an anchor fit into a task.
+LOCAL_LEVEL = 32
+#: Segments or prefix members in a part, until there are PARTS of them; classes are folded in as many.
 PART_ROWS = 4_000_000
 PARTS = 6
 #: Counters of the sketch, as a power of two: from the size of the input within these. Fewer make the order of
@@ -65,6 +71,9 @@ FOLD_LONGS = 2
 FOLD = [f"q{k}" for k in range(FOLD_LONGS)]  # the parities with their longs added up: fits beside each key
 _BLOCK_BITS = 14
 _LEVEL, _HASH = 6, 48  # bits of a sequence's place in the order: level of its count, then hash
+_FIELD = (1 << golay.N_BITS) - 1
+_WIDE = 1 << golay.N_BITS  # beside a field: its anchor is of LOCAL_LEVEL or more
+_SIZE = golay.N_BITS + 1  # where the set size begins beside field and mark
 
 
 def _merged_table(rows: DataFrame, bits: int, values: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
@@ -161,8 +170,11 @@ def _ordered(h: np.ndarray, doc: np.ndarray, sketch: np.ndarray) -> tuple[np.nda
     return place, packed & U((1 << 54) - 1), (packed >> U(54)).astype(np.int64)
 
 
-def _segments(texts: list[str], shingle: int, min_words: int, sketch: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, class hash 1, class hash 2, anchors, fields, set size, parities) of the texts with enough words; anchor 0: none."""
+def _segments(texts: list[str], shingle: int, min_words: int, sketch: np.ndarray, local: int) -> tuple[np.ndarray, ...]:
+    """(row, class hash 1, class hash 2, anchors, fields, set size, parities) of the texts with enough words; anchor 0: none.
+
+    A field has the mark `_WIDE` if its anchor is of level `local` or more.
+    """
     w = words(to_batch(texts))
     h, doc, pos = shingles(w, shingle)
     n_words = np.diff(w.first)
@@ -188,6 +200,7 @@ def _segments(texts: list[str], shingle: int, min_words: int, sketch: np.ndarray
     fields = np.zeros((len(rows), SLOTS), dtype=np.int64)
     if len(rare):
         h, doc, pos = h[rare], doc[rare], pos[rare]
+        wide = np.where(place[rare] >> U(_HASH) >= U(local), _WIDE, 0)
         some = np.unique(doc)
         at_row = np.searchsorted(rows, some)
         first = np.searchsorted(doc, some, side="left")
@@ -200,7 +213,7 @@ def _segments(texts: list[str], shingle: int, min_words: int, sketch: np.ndarray
             hits = np.flatnonzero(order == np.repeat(np.minimum.reduceat(order, first), size))
             at = hits[np.searchsorted(hits, first, side="left")]
             anchors[at_row, s] = mix(h[at] + seed) | U(1)
-            field = np.zeros(len(some), dtype=np.int64)
+            field = wide[at]
             for o in (*range(-CONTEXT, 0), *range(shingle, shingle + CONTEXT)):
                 p = pos[at] + o
                 ok = (p >= lo) & (p < hi)
@@ -215,7 +228,7 @@ def fingerprints(rows: DataFrame, shingle: int, min_words: int, sketch: Broadcas
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 1):
-                at, c1, c2, anchors, fields, n, parity = _segments(piece.column(1).to_pylist(), shingle, min_words, sketch.value)
+                at, c1, c2, anchors, fields, n, parity = _segments(piece.column(1).to_pylist(), shingle, min_words, sketch.value, LOCAL_LEVEL)
                 raw = np.concatenate((anchors.astype(np.int64).view(np.uint8).reshape(len(at), 8 * SLOTS), fields.astype(np.int32).view(np.uint8).reshape(len(at), 4 * SLOTS)), axis=1)
                 segments = [x.tobytes() if a else None for x, a in zip(raw, anchors.any(axis=1))]
                 yield pa.RecordBatch.from_arrays(
@@ -233,53 +246,121 @@ def n_parts(rows: int) -> int:
     return min(max(-(-rows // PART_ROWS), 1), PARTS)
 
 
-def segments_of(folded: DataFrame, part: int, parts: int) -> DataFrame:
-    """(anchor, field, rep, n, q0, q1): one row per segment of the classes (rep, n, segments, parities) whose anchor is in the part."""
+def segment_keys(classes: DataFrame, part: int, parts: int) -> DataFrame:
+    """(key, f, rep, q0, q1, label) of the segments of the classes (rep, n, segments, parities, label) whose anchor is in the part; label if given.
+
+    One row per segment, under its anchor, where the anchor's texts fit into a task, else one per code word
+    index of its field, under a hash of both. f is set size, mark and field in one.
+    """
+    label = [c for c in classes.columns if c == "label"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, 12 * SLOTS)
-            anchors = np.ascontiguousarray(raw[:, : 8 * SLOTS]).view(np.int64).reshape(-1)
-            fields = np.ascontiguousarray(raw[:, 8 * SLOTS :]).view(np.int32).reshape(-1)
-            at = np.flatnonzero((anchors.view(U) >> U(7)) % U(parts) == U(part))
+            anchors = np.ascontiguousarray(raw[:, : 8 * SLOTS]).view(U).reshape(-1)
+            fields = np.ascontiguousarray(raw[:, 8 * SLOTS :]).view(np.int32).reshape(-1).astype(np.int64)
+            at = np.flatnonzero((anchors >> U(7)) % U(parts) == U(part))
+            wide = at[fields[at] >= _WIDE]
+            at = at[fields[at] < _WIDE]
+            index = golay.indices(fields[wide] & _FIELD)
+            row, col = np.nonzero(index >= 0)
+            key = np.concatenate((anchors[at], mix(anchors[wide][row] ^ mix(index[row, col].astype(U) + U(1)))))
+            at = np.concatenate((at, wide[row]))
+            f = batch.column(1).to_numpy().astype(np.int64)[at // SLOTS] << _SIZE | fields[at]
             own = pa.array(at // SLOTS)
-            yield pa.RecordBatch.from_arrays([pa.array(anchors[at]), pa.array(fields[at]), *[c.take(own) for c in batch.columns[1:]]], names=["anchor", "field", "rep", "n", *FOLD])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(f), *[c.take(own) for c in batch.columns[2:]]], names=["key", "f", "rep", *FOLD, *label])
 
     fold = [reduce(Column.bitwiseXOR, map(F.col, PARITY[k::FOLD_LONGS])).alias(q) for k, q in enumerate(FOLD)]
-    rows = folded.where("segments is not null").select("segments", "rep", "n", *fold)
-    return rows.mapInArrow(run, "anchor long, field int, rep long, n int, " + ", ".join(f"{q} long" for q in FOLD))
-
-
-def fuzzy_keys(met: DataFrame, crowded: Broadcast | None, within: bool = False) -> DataFrame:
-    """(key, ...): one row per code word index of each segment (anchor, field, ...) whose key is not `crowded`, or, `within`, is."""
-    cols = ["anchor", "field", *[c for c in met.columns if c not in ("anchor", "field")]]
-    own = [met.schema[c] for c in cols[1:]]
+    rows = classes.where("segments is not null").select("segments", "n", "rep", *fold, *label)
+    return rows.mapInArrow(run, "key long, f long, rep long, " + ", ".join(f"{q} long" for q in (*FOLD, *label)))
+
+
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row, rows) of the runs of equal keys."""
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    return first, np.diff(np.append(first, len(key)))
+
+
+def _met(rows: list[np.ndarray], threshold: float, star: bool, few: int, crowd: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, classes with a crowded key) of whole keys, rows (key, f, rep, q0, q1, label) by key and rep; `star`: each key's first class with the others."""
+    first, size = _runs(rows[0])
+    n = np.repeat(size, size)
+    split = (n > few) & (rows[1] & _WIDE == 0)
+    one, many = np.flatnonzero(~split & (n > 1)), np.flatnonzero(split)
+    index = golay.indices(rows[1][many] & _FIELD)
+    row, col = np.nonzero(index >= 0)
+    bucket = np.repeat(np.arange(len(first)), size)[many][row] << 12 | index[row, col]
+    order = np.argsort(bucket, kind="stable")
+    at = np.concatenate((one, many[row[order]]))
+    size = np.concatenate((_runs(rows[0][one])[1], _runs(bucket[order])[1]))
+    crowded = np.zeros(0, dtype=np.int64)
+    if not star:
+        over = np.repeat(size > crowd, size)
+        crowded = np.unique(rows[2][at[over]])
+        at, size = at[~over], size[size <= crowd]
+    f, rep, *rest = (c[at] for c in rows[1:])
+    after = np.repeat(np.cumsum(size), size) - np.arange(len(at)) - 1  # rows of the same key that follow
+    met = []
+
+    def keep(i: np.ndarray, j: np.ndarray) -> None:
+        na, nb = f[i] >> _SIZE, f[j] >> _SIZE
+        ok = rep[i] != rep[j]
+        if not star:
+            ok &= np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9
+        differ = sum(np.bitwise_count((q[i] ^ q[j]).view(U)).astype(np.int64) for q in rest[:FOLD_LONGS])
+        ok &= differ <= (na + nb) * ((1 - threshold) / (1 + threshold)) + 1e-9
+        for label in rest[FOLD_LONGS:]:
+            ok &= label[i] != label[j]
+        met.append(np.stack((rep[i[ok]], rep[j[ok]]), axis=1))
+
+    if star:
+        centre = np.repeat(np.cumsum(size) - size, size)
+        others = np.flatnonzero(centre != np.arange(len(at)))
+        keep(centre[others], others)
+    else:
+        i, d = np.flatnonzero(after > 0), 1
+        while len(i):
+            near = i[np.bitwise_count((f[i] ^ f[i + d]) & _FIELD) <= golay.TOLERANCE]
+            keep(near, near + d)
+            d += 1
+            i = i[after[i] >= d]
+    return np.unique(np.concatenate([np.zeros((0, 2), dtype=np.int64), *met]), axis=0), crowded
+
+
+def meeting(keys: DataFrame, threshold: float, star: bool = False) -> DataFrame:
+    """Pairs (a, b), a < b, of classes with a key in common, fields within two bits, and sizes and parities that allow the threshold; of different labels, if there are.
+
+    The texts of an anchor are in one task, which gives those of more than `FEW` their code word indices. b is
+    NULL where a has a key of more than `CROWD` texts. `star`: the pairs of each key's least class instead,
+    whatever the fields. A key that may be larger than memory is not held: its rows are all crowded, or all meet the first one.
+    """
+    names = keys.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            index = golay.indices(batch.column(1).to_numpy())
-            row, col = np.nonzero(index >= 0)
-            key = mix(batch.column(0).to_numpy().view(U)[row] ^ mix(index[row, col].astype(U) + U(1))).view(np.int64)
-            if crowded is not None:
-                some = _passing(key, crowded.value) == within
-                row, key = row[some], key[some]
-            at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(key), *[c.take(at) for c in batch.columns[1:]]], names=["key", *[f.name for f in own]])
-
-    return met.select(*cols).mapInArrow(run, "key long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own))
-
-
-def meeting_keys(met: DataFrame, crowded: Broadcast | None) -> DataFrame:
-    """(key, ...) of the segments (anchor, field, ..., few, many): the anchor itself where few have it, else the keys of `fuzzy_keys` that are not crowded."""
-    cols = [c for c in met.columns if c not in ("few", "many")]
-    few = met.where("few").select(F.col("anchor").alias("key"), *[c for c in cols if c != "anchor"])
-    # no key of these can be crowded, but some would pass for it
-    some = fuzzy_keys(met.where("not few and not many").select(*cols), None)
-    return few.unionByName(some).unionByName(fuzzy_keys(met.where("many").select(*cols), crowded))
-
-
-def _similar_size(na: Column, nb: Column, threshold: float) -> Column:
-    return F.least(na, nb) >= threshold * F.greatest(na, nb) - 1e-9
+        held: list[np.ndarray] = []
+        for batch in _ended(batches):
+            rows = held
+            if batch is not None:
+                new = [c.to_numpy() for c in batch.columns]
+                rows = [np.concatenate(x) for x in zip(held, new)] if held else new
+            if not rows or not len(rows[0]):
+                continue
+            last = len(rows[0]) if batch is None else int(np.searchsorted(rows[0], rows[0][-1], side="left"))
+            held = [c[last:] for c in rows]
+            if batch is not None and len(held[0]) > CROWD and held[1][0] & _WIDE:
+                last, held = len(rows[0]), [c[: 1 if star else CROWD + 1] for c in held]
+            pairs, crowded = _met([c[:last] for c in rows], threshold, star, FEW, CROWD)
+            none = np.concatenate((np.zeros(len(pairs), dtype=bool), np.ones(len(crowded), dtype=bool)))
+            a = np.concatenate((pairs[:, 0], crowded))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.concatenate((pairs[:, 1], crowded)), mask=none)], names=["a", "b"])
+
+    return keys.repartition("key").sortWithinPartitions("key", "rep").select(*names).mapInArrow(run, "a long, b long").distinct()
+
+
+def _ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    """The batches, then None."""
+    yield from batches
+    yield None
 
 
 def _may_reach(na: Column, nb: Column, threshold: float, parities: list[str], a: str = "a", b: str = "b") -> Column:
@@ -288,20 +369,6 @@ def _may_reach(na: Column, nb: Column, threshold: float, parities: list[str], a:
     return differ <= (na + nb) * ((1 - threshold) / (1 + threshold)) + 1e-9
 
 
-def meeting(keys: DataFrame, threshold: float, label: bool = False) -> DataFrame:
-    """Pairs (a, b), a < b, of classes with a key in common, fields within two bits, and sizes and parities that allow the threshold; of different labels, if `label`."""
-    cols = ["rep", "_f", *FOLD, *["label"] * label]
-    packed = keys.withColumn("_f", F.shiftleft(F.col("n").cast("long"), golay.N_BITS).bitwiseOR(F.col("field")))  # the shuffle's rows are narrower so
-    left, right = (packed.select("key", *[F.col(c).alias(c + x) for c in cols]) for x in "ab")
-    field = lambda c: F.col(c).bitwiseAND(F.lit((1 << golay.N_BITS) - 1))
-    near = F.bit_count(field("_fa").bitwiseXOR(field("_fb"))) <= golay.TOLERANCE
-    na, nb = (F.shiftright(c, golay.N_BITS) for c in ("_fa", "_fb"))
-    met = left.join(right, "key").where((F.col("repa") < F.col("repb")) & near & _similar_size(na, nb, threshold) & _may_reach(na, nb, threshold, FOLD))
-    if label:
-        met = met.where("labela <> labelb")
-    return met.select(F.col("repa").alias("a"), F.col("repb").alias("b")).distinct()
-
-
 def shingle_sets(rows: DataFrame, shingle: int, wanted: Broadcast | None) -> DataFrame:
     """(id, grams): the sorted distinct word sequences of each row (id, text) whose id is `wanted`."""
 
@@ -392,44 +459,53 @@ class Meeting:
 
     rows: DataFrame  # (id, text): id stands for one text only
     members: DataFrame  # (id, rep, n_copies)
-    sizes: DataFrame  # (rep, n, parities)
-    met: list[DataFrame]  # by part, (anchor, field, rep, n, q0, q1, few, many): segments whose anchor another class has
-    crowded: Broadcast | None  # keys of more than CROWD classes
-    crowd: Prefixes | None  # the classes with one
+    classes: list[DataFrame]  # by part, (rep, n, segments, parities)
+    sketch: Broadcast
     shingle: int
     threshold: float
 
+    def _classes(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.classes)
+
     def pairs(self, label: DataFrame | None = None) -> DataFrame:
         """A table of the pairs (a, b), a < b, of classes that meet and may reach the threshold; of different labels (rep, label), if given."""
-        tables = []
-        for met in self.met:
-            if label is not None:
-                met = met.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-            tables.append(materialize(meeting(meeting_keys(met, self.crowded), self.threshold, label is not None), "fuzzy-pairs"))
-        for part in range(self.crowd.parts if self.crowd else 0):
-            tables.append(materialize(crowd_pairs(self.crowd, part, self.crowd.parts, label), "crowd-pairs"))
+        classes = self._classes()
+        if label is not None:
+            classes = materialize(classes.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "labelled")
+        parts = len(self.classes)
+        tables = [materialize(meeting(segment_keys(classes, k, parts), self.threshold), "fuzzy-pairs") for k in range(parts)]
+        if label is not None:
+            drop_materialized(classes)
+        crowded = reduce(DataFrame.unionByName, tables).where("b is null")
+        ids = materialize(crowded.select(F.col("a").alias("id")).distinct(), "crowd")
+        if not ids.isEmpty():
+            crowd = self._prefixes(ids)
+            tables += [materialize(crowd_pairs(crowd, k, crowd.parts, label), "crowd-pairs") for k in range(crowd.parts)]
+            drop_materialized(crowd.texts)
+        drop_materialized(ids)
         return _all(tables, "met-pairs")
 
+    def _prefixes(self, ids: DataFrame) -> Prefixes:
+        """The prefixes of the classes `ids` (id)."""
+        part, wanted = only(self.rows, ids)
+        texts = prefixes(part, self.shingle, self.threshold, wanted, self.sketch).join(ids, "id", "left_semi").dropDuplicates(["id"]).withColumnRenamed("id", "rep")
+        texts = materialize(texts, "prefixes")
+        members_of = texts.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
+        return Prefixes(texts, self.threshold, n_parts(members_of))
+
     def stars(self) -> DataFrame:
         """A table of the pairs (a, b) of each key's least class and another one that may reach the threshold."""
-        tables = []
-        for met in self.met:
-            keys = meeting_keys(met, None).select("key", F.struct("rep", "n", *FOLD).alias("_c"))
-            centre = keys.groupBy("key").agg(F.min("_c").alias("_a"), F.max("_c.rep").alias("_b")).where("_a.rep <> _b").select("key", "_a")
-            star = keys.join(centre, "key").where("_c.rep <> _a.rep")
-            star = star.select(*[F.col(f"{side}.{c}").alias(c + x) for side, x in (("_a", "a"), ("_c", "b")) for c in ("rep", "n", *FOLD)])
-            star = star.where(_may_reach(F.col("na"), F.col("nb"), self.threshold, FOLD))
-            tables.append(materialize(star.select(F.col("repa").alias("a"), F.col("repb").alias("b")).distinct(), "star-pairs"))
-        return _all(tables, "stars")
+        parts = len(self.classes)
+        return _all([materialize(meeting(segment_keys(self._classes(), k, parts), self.threshold, star=True), "star-pairs") for k in range(parts)], "stars")
 
     def drop(self) -> None:
-        """Delete the tables that only `pairs` and `stars` read."""
-        for table in (*self.met, *([self.crowd.texts] if self.crowd else [])):
+        """Delete the tables of the classes; `members` stays."""
+        for table in self.classes:
             drop_materialized(table)
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """(a, b, similarity) of the pairs that reach the threshold, by their whole sets."""
-        likely = materialize(possible_pairs(pairs, self.sizes, self.threshold), "candidates")
+        likely = materialize(possible_pairs(pairs, self._classes().select("rep", "n", *PARITY), self.threshold), "candidates")
         wanted = materialize(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct(), "candidate-ids")
         sets = shingle_sets(*_args(self.rows, wanted, self.shingle)).groupBy("id").agg(F.max("grams").alias("grams"))
         both = likely.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
@@ -439,10 +515,8 @@ class Meeting:
 
 
 def _all(tables: list[DataFrame], name: str) -> DataFrame:
-    """One table of the distinct rows of all, which are removed."""
-    if len(tables) == 1:
-        return tables[0]
-    out = materialize(reduce(DataFrame.unionByName, tables).distinct(), name)
+    """One table of the distinct pairs of all, which are removed."""
+    out = materialize(reduce(DataFrame.unionByName, tables).where("b is not null").distinct(), name)
     for table in tables:
         drop_materialized(table)
     return out
@@ -484,44 +558,18 @@ def meet(docs: DataFrame, doc_id: str, text: str, shingle: int, threshold: float
     bits = min(max(int(chars // 64).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
     sketch = spark.sparkContext.broadcast(count_sketch(rows.select("text"), shingle, bits))
     prints = materialize(fingerprints(rows, shingle, max(min_words, shingle), sketch), "fingerprints")
-    classes = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("n_copies"))
-    first = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("segments", "n", *PARITY)])
-    folded = materialize(first.select("rep", "segments", "n", *PARITY), "classes")
-    members = prints.select("id", "c1", "c2").join(classes, ["c1", "c2"]).select("id", "rep", "n_copies").distinct()
+    names_of = prints.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("n_copies"))
+    parts = n_parts(prints.count() * SLOTS)
+    firsts = [F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("segments", "n", *PARITY)]]
+    of_part = (prints.where(F.pmod("c1", F.lit(parts)) == k).groupBy("c1", "c2").agg(*firsts) for k in range(parts))
+    classes = [materialize(own.drop("c1", "c2"), "classes") for own in of_part]
+    members = prints.select("id", "c1", "c2").join(names_of, ["c1", "c2"]).select("id", "rep", "n_copies").distinct()
     if names is not None:
         docs_of = members.join(names, "id", "left").select(F.coalesce("doc", "id").alias("id"), "rep").distinct()
         members = docs_of.join(docs_of.groupBy("rep").agg(F.count("*").alias("n_copies")), "rep").select("id", "rep", "n_copies")
     members = materialize(members, "members")
     drop_materialized(prints)
-    parts = n_parts(folded.count() * SLOTS)
-    met = [materialize(_met(segments_of(folded, k, parts), threshold), "met-segments") for k in range(parts)]
-    sizes = materialize(folded.select("rep", "n", *PARITY), "set-sizes")
-    drop_materialized(folded)
-    crowding = []
-    for part in met:
-        keys = fuzzy_keys(part.where("many").select("anchor", "field"), None).select(F.col("key").alias("id"))
-        crowding.append(materialize(keys.groupBy("id").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select("id"), "crowded-keys"))
-    keys = reduce(DataFrame.unionByName, crowding)
-    n = keys.count()
-    crowded = crowd = None
-    if n:
-        crowded = spark.sparkContext.broadcast(id_filter(keys, n))
-        many = reduce(DataFrame.unionByName, met).where("many").select("anchor", "field", "rep")
-        ids = materialize(fuzzy_keys(many, crowded, True).select(F.col("rep").alias("id")).distinct(), "crowd")
-        part, wanted = only(rows, ids)
-        texts = prefixes(part, shingle, threshold, wanted, sketch).join(ids, "id", "left_semi").dropDuplicates(["id"]).withColumnRenamed("id", "rep")
-        texts = materialize(texts, "prefixes")
-        members_of = texts.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
-        crowd = Prefixes(texts, threshold, n_parts(members_of))
-    return Meeting(rows, members, sizes, met, crowded, crowd, shingle, threshold)
-
-
-def _met(segments: DataFrame, threshold: float) -> DataFrame:
-    """The segments whose anchor another class has, with `few` and `many` by how many have it."""
-    shared = segments.groupBy("anchor").agg(F.count("*").alias("_n"), F.bit_xor("field").alias("_x"), F.min("n").alias("_lo"), F.max("n").alias("_hi")).where("_n > 1")
-    # an anchor of two texts whose fields or sizes are too far apart brings nobody together
-    shared = shared.where((F.col("_n") > 2) | (F.bit_count("_x") <= golay.TOLERANCE) & _similar_size(F.col("_lo"), F.col("_hi"), threshold))
-    return segments.join(shared, "anchor").select("anchor", "field", "rep", "n", *FOLD, (F.col("_n") <= FEW).alias("few"), (F.col("_n") > CROWD).alias("many"))
+    return Meeting(rows, members, classes, sketch, shingle, threshold)
 
 
 def near_duplicate_classes(
@@ -541,10 +589,9 @@ def near_duplicate_classes(
     """
     m = meet(docs, doc_id, text, shingle, threshold, min_words)
     pairs = m.pairs()
-    m.drop()
     links = m.links(pairs)
     drop_materialized(pairs)
-    drop_materialized(m.sizes)
+    m.drop()
     return m.members, links
 
 
@@ -607,9 +654,9 @@ def near_duplicate_groups(
     drop_materialized(stars)
     label = components(near)
     cross = m.pairs(label)
-    m.drop()
     more = materialize(m.links(cross), "cross-links")
     drop_materialized(cross)
+    m.drop()
     label = label if more.isEmpty() else components(near.select("a", "b").unionByName(more.select("a", "b")))
     linked = m.members.join(label, "rep").groupBy("label").agg(F.min("id").alias("_least"))
     of = label.join(linked, "label").select("rep", "_least")

@@ -184,6 +184,58 @@ def test_chance_pairs_are_not_stored(spark, monkeypatch):
     assert stored and max(stored) < 1000, stored  # 9,794 before
 
 
+def shuffled_rows(spark, act):
+    """Rows that the stages of `act` write to shuffles."""
+    sc = spark.sparkContext
+    store = lambda: sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    stages = lambda: {s.stageId(): s.shuffleWriteRecords() for s in (store().apply(k) for k in range(store().size()))}
+    before = stages()
+    act()
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return sum(n for k, n in stages().items() if k not in before)
+
+
+def test_segments_are_shuffled_once(spark):
+    """Anchors of 60 texts that share a third: a segment is one row of one shuffle, and is not written for each code word index."""
+    rows = [(100 * g + k, " ".join([f"o{g}x{k}x{j}" for j in range(30)] + [f"s{g}x{j}" for j in range(30)])) for g in range(8) for k in range(60)]
+    rows.append((9999, rows[0][1] + " tail"))
+    found = []
+    small = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(small, "-1")  # so small a table would not be shuffled at all
+    try:
+        n = shuffled_rows(spark, lambda: found.extend((r.a, r.b) for r in near_duplicate_classes(frame(spark, rows), "rev_id", "text", 3, 0.6, 20)[1].collect()))
+    finally:
+        spark.conf.unset(small)
+    assert found == [(0, 9999)]
+    assert n < 3 * len(rows) * near_dups.SLOTS, n  # 54,211 before
+
+
+def test_anchors_larger_than_a_task(spark, monkeypatch):
+    """Anchors that count as too frequent for a task's memory, with keys over several batches and crowded ones, give the same."""
+    rnd = random.Random(12)
+    words = [f"g{k}" for k in range(120)]
+    rows = corpus(13) + [(10**6 + k, variant(rnd, words, k)) for k in range(300)]
+    want = brute(rows, 3, 0.6, 20)
+    least = {i: i for i, t in rows if len(WORD.findall(t)) >= 20}
+    for _ in range(30):
+        for a, b in want:
+            least[a] = least[b] = min(least[a], least[b])
+    monkeypatch.setattr(near_dups, "LOCAL_LEVEL", 1)
+    crowd, real = [], near_dups.crowd_pairs
+    monkeypatch.setattr(near_dups, "crowd_pairs", lambda c, *a: crowd.append(c.texts.count()) or real(c, *a))
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, "100")
+    try:
+        m, links = near_duplicate_classes(frame(spark, rows), "rev_id", "text", 3, 0.6, 20)
+        got = {(r.a, r.b) for r in expand_pairs(m, links).collect()}
+        groups = {r.id: r.group_id for r in near_duplicate_groups(frame(spark, rows), "rev_id", "text", 3, 0.6, 20).collect()}
+    finally:
+        spark.conf.unset(batch)
+    assert got <= want and len(got) >= 0.998 * len(want), want - got
+    assert crowd and crowd[0] >= 300, crowd
+    assert groups == least
+
+
 def test_empty(spark):
     m, links = near_duplicate_classes(frame(spark, []), "rev_id", "text")
     assert m.count() == 0 and links.count() == 0 and expand_pairs(m, links).count() == 0
